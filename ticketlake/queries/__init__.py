@@ -1,6 +1,6 @@
 """Registered queries, by family."""
 
-from . import daily
+from . import daily, rules
 from .base import REGISTRY
 
-__all__ = ["REGISTRY", "daily"]
+__all__ = ["REGISTRY", "daily", "rules"]
