@@ -1,6 +1,6 @@
 """Registered queries, by family."""
 
-from . import daily, rules
+from . import channels, daily, rules
 from .base import REGISTRY
 
-__all__ = ["REGISTRY", "daily", "rules"]
+__all__ = ["REGISTRY", "channels", "daily", "rules"]

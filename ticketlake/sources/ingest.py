@@ -48,19 +48,16 @@ def append_unread(df: DataFrame, store: str, manifest: str) -> DataFrame:
 
 
 def write_sales(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Wide sales table partitioned by order day, so day and week reports prune files."""
-    day = F.to_date("order_ts")
-    by_day = df.withColumn("order_day", day).repartition("order_day", salt(df))
+    """Wide sales table partitioned by order day, so day and week reports prune files.
+
+    The rebalance keeps the rows of a day together, yet splits a day that is too big for one task.
+    """
+    by_day = df.withColumn("order_day", F.to_date("order_ts")).hint("rebalance", "order_day")
     by_day.sortWithinPartitions("order_day", "order_ts").write.partitionBy("order_day").mode(
         mode
     ).parquet(path)
 
 
-def salt(df: DataFrame, ways: int = 16):
-    """Spread one busy day over several writers."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(ways))
-
-
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Small report table with a header."""
     writer = df.coalesce(1).write.mode("overwrite")
