@@ -12,18 +12,10 @@ from .nulls import ColumnOrName, as_col
 from .numbers import as_number
 from .text import capture
 
-# Input formats seen in the source reports.
-TS_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd HH:mm",
-    "yyyy-MM-dd",
-    "yyyy/M/d HH:mm:ss",
-    "yyyy/M/d HH:mm",
-    "yyyy/M/d",
-    "yyyyMMdd",
-    "yyyy年M月d日 HH:mm[:ss]",
-)
-PUBLISHED_ON = "'发布于 'yyyy-MM-dd"
+# Prefix of a publishing date.
+PUBLISHED_PREFIX = "发布于 "
+# Date, optionally with a time, once separators are unified.
+_ISO = r"^\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{2}(:\d{2})?)?$"
 # Weekday names, Monday first.
 WEEKDAYS = ("周一", "周二", "周三", "周四", "周五", "周六", "周日")
 
@@ -36,14 +28,22 @@ def ntz(value) -> Column:
     return c.cast("timestamp_ntz")
 
 
-def parse_as(c: ColumnOrName, fmt: str) -> Column:
-    return F.try_to_timestamp(as_col(c), F.lit(fmt)).cast("timestamp_ntz")
+def parse_ts(c: ColumnOrName) -> Column:
+    """Any accepted date or time text, else NULL.
+
+    Accepted are ``yyyy-MM-dd``, ``yyyy/M/d``, ``yyyyMMdd`` and ``yyyy年M月d日``, each with an optional
+    ``HH:mm[:ss]``.  The text is brought to one form and cast once: a cast that fails costs nothing,
+    while every failed format would raise and catch an error per row.
+    """
+    t = F.regexp_replace(as_col(c), "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+    t = F.regexp_replace(F.translate(t, "/年月", "---"), "日", "")
+    return F.when(t.rlike(_ISO), t.try_cast("timestamp_ntz"))
 
 
-def parse_ts(c: ColumnOrName, formats: tuple[str, ...] = TS_FORMATS) -> Column:
-    """First format that fits, else NULL."""
+def parse_published(c: ColumnOrName) -> Column:
+    """``发布于 2024-01-30`` to a time."""
     c = as_col(c)
-    return F.coalesce(*[parse_as(c, f) for f in formats])
+    return F.when(c.startswith(PUBLISHED_PREFIX), parse_ts(F.replace(c, F.lit(PUBLISHED_PREFIX), F.lit(""))))
 
 
 def ts_text(c: ColumnOrName) -> Column:
@@ -91,7 +91,7 @@ def month_day(c: ColumnOrName, year: int | None = None) -> Column:
 
 def zh_minute(c: ColumnOrName) -> Column:
     """``2024年3月22日 20:00`` to a time."""
-    return parse_as(c, "yyyy年M月d日 HH:mm[:ss]")
+    return parse_ts(c)
 
 
 def session_from(c: ColumnOrName, pattern: str) -> Column:

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from ticketlake import dims
 from ticketlake.functions.dates import (
-    PUBLISHED_ON,
     between,
     excel_serial,
     ntz,
-    parse_as,
+    parse_published,
     parse_ts,
 )
 from ticketlake.functions.nulls import null_safe_on, strict_sum
@@ -46,7 +45,7 @@ def article_followers(raw: DataFrame, platform: str, account: str) -> DataFrame:
 
 def video_followers(raw: DataFrame, platform: str, account: str) -> DataFrame:
     rows = raw.select(
-        parse_as("时间", "yyyy/M/d").alias("day"),
+        parse_ts("时间").alias("day"),
         as_number("关注者总数").alias("total"),
         as_number("新增关注").alias("new"),
         as_number("取消关注").alias("cancelled"),
@@ -66,7 +65,7 @@ def service_followers(raw: DataFrame, platform: str, account: str) -> DataFrame:
 def articles(raw: DataFrame, platform: str, account: str) -> DataFrame:
     """Articles have no interaction count."""
     rows = raw.select(
-        parse_as("发表时间", "yyyyMMdd").alias("published_at"),
+        parse_ts("发表时间").alias("published_at"),
         as_number("总阅读次数").alias("views"),
         as_number("总分享次数").alias("shares"),
     )
@@ -100,7 +99,7 @@ def content(
 
 def videos(raw: DataFrame, platform: str, account: str) -> DataFrame:
     return content(
-        raw, platform, account, "视频号", parse_as("发布时间", "yyyy/M/d"),
+        raw, platform, account, "视频号", parse_ts("发布时间"),
         as_number("播放量"), as_number("分享量"),
     )
 
@@ -150,7 +149,7 @@ def dashboard_items(
         PART,
         ORDER,
         F.get(head, F.lit(TITLE_TOKEN - 1)).alias("标题"),
-        parse_as(F.get(head, F.lit(DATE_TOKEN - 1)), PUBLISHED_ON).alias("发布时间"),
+        parse_published(F.get(head, F.lit(DATE_TOKEN - 1))).alias("发布时间"),
         reshape.token_pairs(stats, pairs).alias("_pairs"),
     )
     return found.select(

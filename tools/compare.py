@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import threading
 import time
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
@@ -38,14 +39,21 @@ def rows_of(columns, rows):
 
 def compare(spark, con, name, run, sql, sf_dir) -> tuple[bool, str]:
     t0 = time.time()
+    limit = float(os.environ.get("QUERY_SECONDS", "60"))
+    stop = threading.Timer(limit, spark.sparkContext.cancelAllJobs)
+    stop.start()
     df = run(spark, sf_dir)
     got = [tuple(r) for r in df.collect()]
+    stop.cancel()
     took = time.time() - t0
     if sql is None:
         return True, f"{len(got)} rows, no SQL, {took:.2f}s"
+    stop = threading.Timer(limit, con.interrupt)
+    stop.start()
     cur = con.execute(sql)
     names = [d[0] for d in cur.description]
     want = cur.fetchall()
+    stop.cancel()
     if sorted(names) != sorted(df.columns):
         return False, f"columns {sorted(df.columns)} vs {sorted(names)}"
     a, b = rows_of(df.columns, got), rows_of(names, want)
