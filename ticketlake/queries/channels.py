@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketlake import dims
 from ticketlake.functions.nulls import sum0
@@ -12,7 +13,7 @@ from ticketlake.operators.position import ORDER, PART
 from ticketlake.plans import channels as ch
 from ticketlake.plans import sales as sales_plan
 from ticketlake.schema import SALES_SCHEMA, conform
-from ticketlake.session import shared_dir
+from ticketlake.session import shared_dir, written
 from ticketlake.sources import ingest, readers
 
 from .base import MONEY, TS, out, pick, pick_sql, q, query, table, values_sql
@@ -481,7 +482,8 @@ def _block_sql() -> str:
 
 @query("channel_block_report", _block_sql())
 def channel_block_report(spark, sf):
-    grid = _block_grid(spark, sf)
+    # Reports are files: the derived ones are written once, and the pipeline starts from them.
+    grid = written(_block_grid(spark, sf), "block-reports")
     done = ch.block_report(grid, "深圳MA", "剧院", "演出", ["自有"])
     return digest(done, "channel_type", "channel_detail", "order_ts", "session_ts", "face_price")
 
@@ -990,6 +992,9 @@ def csv_folder_scan(spark, sf):
     )
 
 
+START = T.StructField("order_start", T.DateType())
+
+
 @query(
     "partitioned_sales_sink",
     """select strftime(o_orderdate, '%Y-%m-%d') as order_day, count(*) as lines,
@@ -997,18 +1002,19 @@ def csv_folder_scan(spark, sf):
     from orders where o_orderdate >= timestamp '1997-01-01' and o_orderdate < timestamp '1998-01-01' group by 1""",
 )
 def partitioned_sales_sink(spark, sf):
-    """Wide table on disk by order day; a year is read by pruning its folders."""
+    """Wide table on disk by order month; a year is read by pruning its folders."""
     path = shared_dir(spark, "wide")
     rows = conform(
         table(spark, sf, "orders").select(
             F.col("o_orderdate").alias("order_ts"), F.col("o_totalprice").alias("net_revenue")
         )
     )
-    ingest.write_sales(rows, path)
-    back = spark.read.schema(SALES_SCHEMA.add("order_day", "date")).parquet(path)
-    year = back.filter((F.col("order_day") >= "1997-01-01") & (F.col("order_day") < "1998-01-01"))
+    ingest.write_sales(rows, path, unit="month")
+    back = spark.read.schema(T.StructType([*SALES_SCHEMA.fields, START])).parquet(path)
+    start = F.col("order_start")
+    year = back.filter((start >= F.lit("1997-01-01").cast("date")) & (start < F.lit("1998-01-01").cast("date")))
     return out(
-        year.groupBy("order_day").agg(
+        year.groupBy(F.to_date("order_ts").alias("order_day")).agg(
             F.count(F.lit(1)).alias("lines"), F.sum("net_revenue").alias("revenue")
         )
     )

@@ -47,13 +47,14 @@ def append_unread(df: DataFrame, store: str, manifest: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(f"{store}/rows")
 
 
-def write_sales(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Wide sales table partitioned by order day, so day and week reports prune files.
+def write_sales(df: DataFrame, path: str, unit: str = "day", mode: str = "overwrite") -> None:
+    """Wide sales table partitioned by the start of the order's day (or month), so reports prune files.
 
-    The rebalance keeps the rows of a day together, yet splits a day that is too big for one task.
+    The rebalance keeps the rows of a folder together, yet splits one that is too big for one task.
     """
-    by_day = df.withColumn("order_day", F.to_date("order_ts")).hint("rebalance", "order_day")
-    by_day.sortWithinPartitions("order_day", "order_ts").write.partitionBy("order_day").mode(
+    start = F.date_trunc(unit, "order_ts").cast("date")
+    grouped = df.withColumn("order_start", start).hint("rebalance", "order_start")
+    grouped.sortWithinPartitions("order_start", "order_ts").write.partitionBy("order_start").mode(
         mode
     ).parquet(path)
 

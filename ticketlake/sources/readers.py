@@ -175,12 +175,12 @@ def by_layout(
     grid: DataFrame, layouts: list[tuple[str, dict[str, int]]], default: dict[str, int]
 ) -> DataFrame:
     """Columns by index where the indexes depend on the file name (first pattern that fits)."""
-    cells = F.array(*[F.col(c) for c in grid_columns(grid)])
+    cells = grid_columns(grid)
     out = []
     for name, idx in default.items():
-        expr = F.get(cells, F.lit(idx - 1))
+        expr = F.col(cells[idx - 1])
         for pattern, layout in reversed(layouts):
-            expr = F.when(F.col(PART).rlike(pattern), F.get(cells, F.lit(layout[name] - 1))).otherwise(expr)
+            expr = F.when(F.col(PART).rlike(pattern), F.col(cells[layout[name] - 1])).otherwise(expr)
         out.append(expr.alias(name))
     return grid.select(PART, ORDER, *out)
 
