@@ -27,49 +27,58 @@ ARTICLES, VIDEOS, POSTS, SERVICE, FOLLOWERS_ONLY = "articles", "videos", "posts"
 UNKNOWN_TEXT = "-"
 
 
-def tagged(df: DataFrame, platform: str, account: str) -> DataFrame:
-    return df.withColumns({"platform": F.lit(platform), "account": F.lit(account)})
+Account = str | Column
+
+
+def tagged(platform: str, account: Account) -> list[Column]:
+    """Platform and account of an export; a column names the account of each row."""
+    name = account if isinstance(account, Column) else F.lit(account)
+    return [F.lit(platform).alias("platform"), name.alias("account")]
 
 
 # -------------------------------------------------------------------------------------- sources
-def article_followers(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def article_followers(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     """Follower days of an article account; the day is a spreadsheet serial."""
     rows = raw.select(
+        *tagged(platform, account),
         excel_serial("时间").alias("day"),
         as_number("累积关注人数").alias("total"),
         as_number("新关注人数").alias("new"),
         as_number("取消关注人数").alias("cancelled"),
     )
-    return conform(tagged(rows, platform, account), FOLLOWERS_SCHEMA)
+    return conform(rows, FOLLOWERS_SCHEMA)
 
 
-def video_followers(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def video_followers(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     rows = raw.select(
+        *tagged(platform, account),
         parse_ts("时间").alias("day"),
         as_number("关注者总数").alias("total"),
         as_number("新增关注").alias("new"),
         as_number("取消关注").alias("cancelled"),
     )
-    return conform(tagged(rows, platform, account), FOLLOWERS_SCHEMA)
+    return conform(rows, FOLLOWERS_SCHEMA)
 
 
-def service_followers(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def service_followers(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     rows = raw.select(
+        *tagged(platform, account),
         parse_ts("日期").alias("day"),
         as_number("客户总数").alias("total"),
         strip_apostrophe("净增客户数").alias("new"),
     )
-    return conform(tagged(rows, platform, account), FOLLOWERS_SCHEMA)
+    return conform(rows, FOLLOWERS_SCHEMA)
 
 
-def articles(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def articles(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     """Articles have no interaction count."""
     rows = raw.select(
+        *tagged(platform, account),
         parse_ts("发表时间").alias("published_at"),
         as_number("总阅读次数").alias("views"),
         as_number("总分享次数").alias("shares"),
     )
-    return conform(tagged(rows, platform, account), CONTENT_SCHEMA)
+    return conform(rows, CONTENT_SCHEMA)
 
 
 def engagement(kind: str) -> Column:
@@ -81,7 +90,7 @@ def engagement(kind: str) -> Column:
 def content(
     raw: DataFrame,
     platform: str,
-    account: str,
+    account: Account,
     kind: str,
     published_at: Column,
     views: Column,
@@ -89,36 +98,37 @@ def content(
 ) -> DataFrame:
     """Items of any platform; ``kind`` selects its interaction columns."""
     rows = raw.select(
+        *tagged(platform, account),
         published_at.alias("published_at"),
         views.alias("views"),
         engagement(kind).alias("interactions"),
         shares.alias("shares"),
     )
-    return conform(tagged(rows, platform, account), CONTENT_SCHEMA)
+    return conform(rows, CONTENT_SCHEMA)
 
 
-def videos(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def videos(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     return content(
         raw, platform, account, "视频号", parse_ts("发布时间"),
         as_number("播放量"), as_number("分享量"),
     )
 
 
-def weibo_posts(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def weibo_posts(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     return content(
         raw, platform, account, "微博", excel_serial("投稿时间"),
         magnitude("阅读数", "Ww"), as_number("转发数"),
     )
 
 
-def bilibili_posts(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def bilibili_posts(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     return content(
         raw, platform, account, "b站", excel_serial("投稿时间"),
         as_number("播放量"), as_number("分享数"),
     )
 
 
-def douyin_posts(raw: DataFrame, platform: str, account: str) -> DataFrame:
+def douyin_posts(raw: DataFrame, platform: str, account: Account) -> DataFrame:
     return content(
         raw.filter(F.col("播放量").isNotNull()), platform, account, "抖音",
         excel_serial("投稿时间"), as_number("播放量"), as_number("转发数"),
@@ -159,7 +169,7 @@ def dashboard_items(
 
 
 def dashboard_posts(
-    lines: DataFrame, platform: str, account: str, video: bool = False,
+    lines: DataFrame, platform: str, account: Account, video: bool = False,
     chunk_rows: int = position.CHUNK_ROWS, whole: bool = False,
 ) -> DataFrame:
     """Dashboard items as content rows; only video views may carry a ten-thousand mark."""

@@ -1,6 +1,6 @@
 """Registered queries, by family."""
 
-from . import channels, daily, rules
+from . import channels, daily, marketing, rules, scalars
 from .base import REGISTRY
 
-__all__ = ["REGISTRY", "channels", "daily", "rules"]
+__all__ = ["REGISTRY", "channels", "daily", "marketing", "rules", "scalars"]

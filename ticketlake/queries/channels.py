@@ -802,7 +802,7 @@ def distributor_sales(spark, sf):
 
 @query(
     "market_sales",
-    f"""with {_DIRECT_SRC}, both as (
+    f"""with {_DIRECT_SRC}, merged as (
       select production, order_ts, channel_type, action_date, 1 as tickets from rated where production <> 'test'
       union all
       select case p_type when 'ECONOMY' then 'NTN' when 'SMALL' then 'MOR' when 'LARGE' then 'MA'
@@ -814,7 +814,7 @@ def distributor_sales(spark, sf):
       from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
       where l_linenumber <> 7 and p_type not in ('PROMO', 'STANDARD'))
     select production, '' as project, '' as venue, strftime(order_ts, '%Y-%m') as month, channel_type, action_date,
-      count(*) as lines, cast(sum(tickets) as bigint) as tickets from both group by 1, 4, 5, 6""",
+      count(*) as lines, cast(sum(tickets) as bigint) as tickets from merged group by 1, 4, 5, 6""",
 )
 def market_sales(spark, sf):
     productions = dims.text_map(spark, "production", _PROJECTS, sales_plan.UNKNOWN)
