@@ -35,9 +35,13 @@ def parse_ts(c: ColumnOrName) -> Column:
     ``HH:mm[:ss]``.  The text is brought to one form and cast once: a cast that fails costs nothing,
     while every failed format would raise and catch an error per row.
     """
-    t = F.regexp_replace(as_col(c), "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+    c = as_col(c)
+    t = F.regexp_replace(c, "^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
     t = F.regexp_replace(F.translate(t, "/年月", "---"), "日", "")
-    return F.when(t.rlike(_ISO), t.try_cast("timestamp_ntz"))
+    # The common form needs no rewriting.
+    return F.when(c.rlike(_ISO), c.try_cast("timestamp_ntz")).when(
+        t.rlike(_ISO), t.try_cast("timestamp_ntz")
+    )
 
 
 def parse_published(c: ColumnOrName) -> Column:

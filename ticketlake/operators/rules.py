@@ -12,6 +12,7 @@ lost, and nothing is grouped on the fact side.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -99,6 +100,7 @@ class RuleSet:
         best = F.max(written) if self.conflict == "last" else F.min(written)
         return best[out].alias(out)
 
+    @cached_property
     def resolved(self) -> DataFrame:
         """One row per key, or per key and segment, with conflicts settled."""
         winners = [self._winner(o) for o in self.outputs]
@@ -147,7 +149,7 @@ class RuleSet:
     def _matched(
         self, df: DataFrame, on: dict[str, ColumnOrName], at: ColumnOrName | None, how: str
     ) -> DataFrame:
-        dim = self.resolved()
+        dim = self.resolved
         renamed = {c: f"_r_{c}" for c in dim.columns}
         dim = dim.withColumnsRenamed(renamed)
         # Each key yields at most 2 n + 2 segments for n rules.
