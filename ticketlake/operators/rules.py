@@ -90,6 +90,7 @@ class RuleSet:
             len(rules),
         )
 
+    @cached_property
     def _bound(self) -> int:
         if self.rows is not None:
             return self.rows
@@ -152,8 +153,8 @@ class RuleSet:
         dim = self.resolved
         renamed = {c: f"_r_{c}" for c in dim.columns}
         dim = dim.withColumnsRenamed(renamed)
-        # Each key yields at most 2 n + 2 segments for n rules.
-        dim = small_side(dim, 2 * self._bound() + 2 if self.ranged else self._bound())
+        # n rules have at most 2 n cut points, hence as many segments, plus one unknown row per key.
+        dim = small_side(dim, 3 * self._bound if self.ranged else self._bound)
         cond = None
         for key in self.keys:
             term = as_col(on[key]) == F.col(f"_r_{key}")

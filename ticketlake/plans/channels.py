@@ -176,9 +176,9 @@ PREAMBLE_SKIP = 5
 SESSION_CLOCK = r"(\d{4}-\d{2}-\d{2}).*?(\d{2}):(\d{2})"
 
 
-def parse_preamble_report(grid: DataFrame) -> DataFrame:
+def parse_preamble_report(grid: DataFrame, files: int | None = None) -> DataFrame:
     """Report whose first rows describe the file; only rows with a ticket number are data."""
-    rows = readers.preamble(grid, PREAMBLE_CELLS, PREAMBLE_SKIP)
+    rows = readers.preamble(grid, PREAMBLE_CELLS, PREAMBLE_SKIP, files)
     cells = readers.grid_columns(grid)[1 : len(PREAMBLE_COLUMNS) + 1]
     named = rows.select(
         PART,
@@ -497,7 +497,7 @@ SUMMARY_TIERS = [(680, 5, 0), (880, 7, 8)]
 SUMMARY_HEADER, SUMMARY_ROWS = 1, (2, 6)
 
 
-def summary_rows(grid: DataFrame, complete: bool = True) -> DataFrame:
+def summary_rows(grid: DataFrame, complete: bool = True, files: int | None = None) -> DataFrame:
     """Summary report to one row per session and tier.
 
     A tier exists once the report is wide enough.  With ``complete`` a row with any empty cell is
@@ -511,7 +511,7 @@ def summary_rows(grid: DataFrame, complete: bool = True) -> DataFrame:
     width = (
         grid.filter(F.col(ORDER) == SUMMARY_HEADER).select(PART, filled.alias("_width"))
     )
-    rows = readers.rows_between(grid, *SUMMARY_ROWS).join(width, PART, "left")
+    rows = readers.attach_to_source(readers.rows_between(grid, *SUMMARY_ROWS), width, files)
     if complete:
         rows = rows.filter(F.forall(F.slice(cells, F.lit(1), F.col("_width")), lambda c: c.isNotNull()))
     tiers = F.array(

@@ -14,7 +14,6 @@ from ticketlake.functions.dates import day_window, ntz, zh_weekday
 from ticketlake.functions.nulls import if_else, is_in, na_last, not_in, null_safe_on, paste, strict_sum, sum0
 from ticketlake.functions.numbers import num_text, rate_percent, rate_text
 from ticketlake.operators import reshape
-from ticketlake.operators.lookup import small_side
 from ticketlake.operators.rules import RuleSet
 
 from .channels import BULK, PLATFORM, SELF
@@ -276,13 +275,12 @@ def rollup_sessions(sales: DataFrame) -> DataFrame:
 def sell_through(requests: DataFrame, sold: DataFrame, capacity: RuleSet | None = None) -> DataFrame:
     """Tickets, revenue and seats for requested (production, session, tier) rows.
 
-    ``sold`` is grouped once for all requests.  A request without sales is 0, and without a capacity
-    has 0 seats.
+    ``sold`` is grouped once for all requests, before the join, so a best-selling tier reaches the
+    join as one row.  A request without sales is 0, and without a capacity has 0 seats.
     """
     keys = ["production", "session_ts", "tier"]
     sums = (
         sold.withColumn("tier", F.col("face_price"))
-        .join(small_side(requests.select(*keys).distinct()), keys, "left_semi")
         .groupBy(*keys)
         .agg(*totals(strict_sum, strict_sum))
         .withColumn("_hit", F.lit(True))

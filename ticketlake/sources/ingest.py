@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +20,13 @@ def unread(df: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def table_exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
 
 
 def cached(spark, path: str, build, refresh: bool = False) -> DataFrame:
@@ -61,5 +66,5 @@ def write_sales(df: DataFrame, path: str, unit: str = "day", mode: str = "overwr
 
 def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
     """Small report table with a header."""
-    writer = df.coalesce(1).write.mode("overwrite")
+    writer = df.repartition(1).write.mode("overwrite")
     writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)

@@ -154,7 +154,7 @@ def header_mismatch(grid: DataFrame, names: list[str], header_row: int) -> DataF
 
 
 def preamble(
-    grid: DataFrame, cells: dict[str, tuple[int, int]], skip_rows: int
+    grid: DataFrame, cells: dict[str, tuple[int, int]], skip_rows: int, files: int | None = None
 ) -> DataFrame:
     """Fixed cells (0-based row, 1-based column) of each file become columns of its body rows."""
     cols = grid_columns(grid)
@@ -168,7 +168,7 @@ def preamble(
             ]
         )
     )
-    return rows_between(grid, skip_rows).join(head, PART, "left")
+    return attach_to_source(rows_between(grid, skip_rows), head, files)
 
 
 def by_layout(
@@ -214,11 +214,13 @@ def find_columns(
     )
 
 
-def pick_found(grid: DataFrame, found: DataFrame, names: list[str]) -> DataFrame:
+def pick_found(
+    grid: DataFrame, found: DataFrame, names: list[str], files: int | None = None
+) -> DataFrame:
     """Read each file's own columns, as located by :func:`find_columns`."""
     columns = grid_columns(grid)
     cells = F.array(*[F.col(c) for c in columns])
-    return grid.join(found, PART, "left").select(
+    return attach_to_source(grid, found, files).select(
         PART,
         ORDER,
         F.col(columns[0]).alias("c1"),
@@ -241,6 +243,16 @@ def sheet_name() -> Column:
     return F.element_at(F.split(PART, "/"), -2)
 
 
-def attach_to_source(df: DataFrame, per_file: DataFrame) -> DataFrame:
-    """Join a small per-file table to the rows of each file."""
-    return df.join(small_side(per_file), PART, "left")
+def file_count(df: DataFrame) -> int:
+    """Number of files that a scan reads: a bound for every per-file table made from it."""
+    return len(df.inputFiles())
+
+
+def attach_to_source(df: DataFrame, per_file: DataFrame, files: int | None = None) -> DataFrame:
+    """Join a per-file table to the rows of each file.
+
+    With a known number of files the table is broadcast when that is small.  Otherwise adaptive
+    execution decides, and splits the rows of a file that is too big for one task.
+    """
+    side = small_side(per_file, files) if files is not None else per_file
+    return df.join(side, PART, "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -87,7 +87,15 @@ def ingest(
 
 
 def with_event_time(sales: DataFrame, late: str, at: str = "order_ts") -> DataFrame:
-    return sales.withColumn(EVENT_TIME, F.col(at).cast("timestamp")).withWatermark(EVENT_TIME, late)
+    """Wall-clock time as the same reading in UTC, whatever the session time zone."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(at))
+    return sales.withColumn(EVENT_TIME, F.timestamp_micros(micros)).withWatermark(EVENT_TIME, late)
+
+
+def window_day() -> Column:
+    """Date on which a window starts."""
+    days = F.floor(F.unix_seconds(F.col("window.start")) / 86400)
+    return F.date_from_unix_date(days.cast("int"))
 
 
 def daily_revenue(sales: DataFrame, late: str = "2 days") -> DataFrame:
@@ -95,7 +103,7 @@ def daily_revenue(sales: DataFrame, late: str = "2 days") -> DataFrame:
     day = F.window(EVENT_TIME, "1 day")
     sums = with_event_time(sales, late).groupBy(day, channel_group().alias("channel_group")).agg(*totals())
     return sums.select(
-        F.col("window.start").cast("date").alias("order_day"), "channel_group", "tickets", "revenue"
+        window_day().alias("order_day"), "channel_group", "tickets", "revenue"
     )
 
 
@@ -110,7 +118,7 @@ def weekly_metrics(items: DataFrame, at: str, keys: list[str], late: str = "8 da
         .groupBy(week, *keys)
         .agg(F.count(F.lit(1)).alias("items"), F.sum("amount").alias("amount"))
     )
-    return sums.select(F.col("window.start").cast("date").alias("week"), *keys, "items", "amount")
+    return sums.select(window_day().alias("week"), *keys, "items", "amount")
 
 
 def attributed(orders: DataFrame, rules: RuleSet, code: str, at: str) -> DataFrame:
