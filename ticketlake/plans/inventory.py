@@ -140,9 +140,9 @@ def by_tier(rows: DataFrame, cancelled: DataFrame | None = None) -> DataFrame:
 def reconcile(tiers: DataFrame, capacity: RuleSet | DataFrame, strict: bool = False) -> DataFrame:
     """What the venue still holds: capacity minus all other states.
 
-    ``strict`` fails on a (session, tier) without capacity.
+    A capacity table may be keyed by session and tier, or by one of them.  ``strict`` fails on a (session, tier) without capacity.
     """
-    keys = ["session_ts", "tier"]
+    keys = [k for k in ("session_ts", "tier") if not isinstance(capacity, DataFrame) or k in capacity.columns]
     if isinstance(capacity, RuleSet):
         seated = capacity.apply(tiers, {k: k for k in keys})
     else:

@@ -133,13 +133,10 @@ def channel_spec_orders(spark, sf):
     return digest(ch.spec_orders(raw))
 
 
-# The events table as one report file whose blank cells repeat the cell above.
-_BLANK = {"售卖日期": 3, "Session 1": 4, "Price 1": 2, "Receiver": 5}
-
-
-def _sheet(spark, sf, name: str = "sheet") -> DataFrame:
+# The events as one report file per month whose blank cells repeat the cell above.
+def _sheet(spark, sf) -> DataFrame:
     return table(spark, sf, "events").select(
-        F.lit(name).alias(PART), F.col("event_id").alias(ORDER), "ts", "user_id", "value", "event_type"
+        F.date_format("ts", "yyyy-MM").alias(PART), F.col("event_id").alias(ORDER), "ts", "user_id", "value", "event_type"
     )
 
 
@@ -150,7 +147,7 @@ def _every(n: int, value: Column) -> Column:
 def _filled(n: int, value: str) -> str:
     return (
         f"last_value(case when event_id % {n} = 0 then {value} end ignore nulls) "
-        "over (order by event_id rows unbounded preceding)"
+        "over (partition by strftime(ts, '%Y-%m') order by event_id rows unbounded preceding)"
     )
 
 

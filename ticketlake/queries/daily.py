@@ -10,6 +10,7 @@ from ticketlake.functions.nulls import is_in, not_in, strict_sum, sum0
 from ticketlake.operators.position import PART
 from ticketlake.plans import daily, inventory
 from ticketlake.plans.weekly import full_join_on_measures
+from ticketlake.session import written
 from ticketlake.sources import ingest
 
 from .base import MONEY, TS, out, q, query, table, values_sql
@@ -383,34 +384,38 @@ _CAPACITY = 100_000
 
 
 def _inventory(spark, sf):
-    lines = (
+    keys = ["session_ts", "tier"]
+    sums = (
         table(spark, sf, "lineitem")
         .join(table(spark, sf, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
+        .groupBy(
             F.date_trunc("month", "l_shipdate").cast("timestamp_ntz").alias("session_ts"),
             F.col("p_size").cast("decimal(18,4)").alias("tier"),
             "l_linestatus",
             "l_returnflag",
-            F.col("l_quantity").alias("seats"),
         )
+        .agg(F.sum("l_quantity").alias("seats"))
+    )
+    # Three systems read these few sums: one pass over the line items serves them all.
+    sums = written(sums, "seat-states")
+
+    def system(status: str, *states: str):
+        flag = {s: k[1] for k, s in _STATE_OF.items()}
+        seats = [F.sum(F.when(F.col("l_returnflag") == flag[s], F.col("seats"))).alias(s) for s in states]
+        return sums.filter(F.col("l_linestatus") == status).groupBy(*keys).agg(*seats)
+
+    own = system("O", "self_available", "self_locked", "self_sold")
+    venue = system("F", "venue_sold")
+    channel = system("F", "channel_available", "channel_sold")
+    tiers = inventory.by_tier(
+        inventory.combine(own, [venue, channel], []), dims.session_table(spark, [_CANCELLED])
+    )
+    size = F.col("p_size")
+    capacity = (
+        table(spark, sf, "part")
+        .select(size.cast("decimal(18,4)").alias("tier"), (F.lit(_CAPACITY) + size).cast("long").alias("seats"))
+        .distinct()
     )
-    keys = ["session_ts", "tier"]
-
-    def part(status: str) -> object:
-        states = {s: k[1] for k, s in _STATE_OF.items() if k[0] == status}
-        return (
-            lines.filter(F.col("l_linestatus") == status)
-            .groupBy(*keys)
-            .agg(*[F.sum(F.when(F.col("l_returnflag") == f, F.col("seats"))).alias(s) for s, f in states.items()])
-        )
-
-    own = part("O")
-    other = part("F")
-    venue, channel = other.select(*keys, "venue_sold"), other.select(*keys, "channel_available", "channel_sold")
-    rows = inventory.combine(own, [venue, channel], [])
-    cancelled = dims.session_table(spark, [_CANCELLED])
-    tiers = inventory.by_tier(rows, cancelled)
-    capacity = tiers.select(*keys, (F.lit(_CAPACITY) + F.col("tier").cast("long")).alias("seats"))
     return inventory.reconcile(tiers, capacity)
 
 

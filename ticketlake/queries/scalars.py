@@ -182,19 +182,22 @@ def season_dates(spark, sf):
 
 
 # ------------------------------------------------------------------------------------- position
+_BY_FILE = "partition by strftime(ts, '%Y-%m') order by event_id"
+
+
 def _file(spark, sf):
-    """The events table as one file in row order."""
+    """The events as one report file per month, in row order."""
     return table(spark, sf, "events").select(
-        F.lit("events").alias(PART), F.col("event_id").alias(ORDER), "event_type", "value", "user_id"
+        F.date_format("ts", "yyyy-MM").alias(PART), F.col("event_id").alias(ORDER), "event_type", "value", "user_id"
     )
 
 
 @query(
     "locf_fill",
-    """select event_id as row_idx, last_value(case when event_type = 'purchase' then value end ignore nulls)
-        over (order by event_id rows unbounded preceding) as price,
+    f"""select event_id as row_idx, last_value(case when event_type = 'purchase' then value end ignore nulls)
+        over ({_BY_FILE} rows unbounded preceding) as price,
       last_value(case when user_id % 10 = 0 then event_type end ignore nulls)
-        over (order by event_id rows unbounded preceding) as label from events""",
+        over ({_BY_FILE} rows unbounded preceding) as label from events""",
 )
 def locf_fill(spark, sf):
     rows = _file(spark, sf).select(
@@ -207,14 +210,15 @@ def locf_fill(spark, sf):
 
 @query(
     "block_assign",
-    """with x as (select event_id, event_type, sum(case when event_type = 'error' then 1 else 0 end)
-        over (order by event_id rows between unbounded preceding and 2 preceding) as n, value from events)
-    select coalesce(n, 0) + 1 as block, count(*) as rows, cast(sum(cast(value as decimal(18,2))) as double) as value from x group by 1""",
+    f"""with x as (select strftime(ts, '%Y-%m') as src_file, sum(case when event_type = 'error' then 1 else 0 end)
+        over ({_BY_FILE} rows between unbounded preceding and 2 preceding) as n, value from events)
+    select src_file, coalesce(n, 0) + 1 as block, count(*) as rows, cast(sum(cast(value as decimal(18,2))) as double) as value
+    from x group by 1, 2""",
 )
 def block_assign(spark, sf):
     rows = position.block_number(_file(spark, sf), F.col("event_type") == "error", chunk_rows=1000)
     return out(
-        rows.groupBy("block").agg(
+        rows.groupBy(PART, "block").agg(
             F.count(F.lit(1)).alias("rows"), F.sum(F.col("value").cast("decimal(18,2)")).alias("value")
         )
     )
@@ -222,10 +226,10 @@ def block_assign(spark, sf):
 
 @query(
     "line_offset",
-    """with x as (select event_id, event_type, lead(value, 2) over (order by event_id) as below,
-        lag(event_type, 2) over (order by event_id) as above from events)
+    f"""with x as (select event_id, event_type, strftime(ts, '%Y-%m') as f, lead(value, 2) over ({_BY_FILE}) as below,
+        lag(event_type, 2) over ({_BY_FILE}) as above from events)
     select event_id as row_idx, below, above from x where event_type = 'purchase'
-      and event_id > (select min(event_id) from x where event_type = 'purchase')""",
+      and event_id > (select min(event_id) from x y where event_type = 'purchase' and y.f = x.f)""",
 )
 def line_offset(spark, sf):
     rows = position.shift(_file(spark, sf), {"value": "below"}, 2, chunk_rows=1000)
@@ -249,8 +253,8 @@ def running_totals(spark, sf):
 
 @query(
     "section_headers",
-    """with x as (select event_id, event_type, value, last_value(case when event_type = 'error' then event_id end ignore nulls)
-        over (order by event_id rows unbounded preceding) as section from events)
+    f"""with x as (select event_id, event_type, value, last_value(case when event_type = 'error' then event_id end ignore nulls)
+        over ({_BY_FILE} rows unbounded preceding) as section from events)
     select section, count(*) as rows, cast(sum(cast(value as decimal(18,2))) as double) as value
     from x where event_type = 'view' group by 1""",
 )
