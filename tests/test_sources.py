@@ -53,6 +53,13 @@ def test_csv_folder_with_file_names(spark, tmp_path):
     assert dict(df.dtypes)["a"] == "string"
 
 
+def test_accounts_from_many_files(spark, tmp_path):
+    a = [put(tmp_path, f"a{i}.csv", ["t,n", f"x,{i}"]) for i in range(3)]
+    b = put(tmp_path, "b.csv", ["t,n", "y,9"])
+    df = readers.read_accounts(spark, {"订阅号": a, "服务号": b}, ["t", "n"])
+    assert dict(df.groupBy("account").count().collect()) == {"订阅号": 3, "服务号": 1}
+
+
 def test_wrong_header_fails(spark, tmp_path):
     put(tmp_path, "x.csv", ["a,c", "1,x"])
     with pytest.raises(Exception, match="(?i)header"):

@@ -42,9 +42,11 @@ def magnitude(c: ColumnOrName, suffixes: str, whole: bool = True) -> Column:
 
 
 def num_text(c: ColumnOrName) -> Column:
-    """Number to text without exponent and without a trailing ``.0``."""
-    c = as_col(c)
-    fixed = c.cast("decimal(38,8)").cast("string")
+    """Number to text without exponent and without a trailing ``.0``.
+
+    The shortest text of a double is taken first, so no digits beyond its precision appear.
+    """
+    fixed = as_col(c).cast("string").try_cast("decimal(38,10)").cast("string")
     return F.regexp_replace(F.regexp_replace(fixed, r"(\.\d*?)0+$", "$1"), r"\.$", "")
 
 

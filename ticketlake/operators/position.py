@@ -38,9 +38,8 @@ def locf(
     """Fill each column down from the last non-NULL value above it in the same file."""
     part = [part] if isinstance(part, str) else part
     chunked = df.withColumn(_CHUNK, _chunk(order, chunk_rows))
-    # The order value is part of the key so that the newest value wins.
     newest = [
-        F.max(F.when(F.col(c).isNotNull(), F.struct(order, c)))[c].alias(f"_c_{c}") for c in cols
+        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_c_{c}") for c in cols
     ]
     carried = (
         chunked.groupBy(*part, _CHUNK)

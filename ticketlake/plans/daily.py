@@ -125,8 +125,8 @@ def daily_matrix(sales: DataFrame, day: str | None, venues: list[str], as_text:
         rows.withColumn("channel_group", channel_group())
         .groupBy("channel_group", "venue")
         .agg(
-            F.coalesce(strict_sum("tickets").cast("double"), F.lit(0.0)).alias("tickets"),
-            F.coalesce(strict_sum("net_revenue").cast("double"), F.lit(0.0)).alias("revenue"),
+            F.coalesce(strict_sum("tickets").cast("decimal(28,4)"), F.lit(0)).alias("tickets"),
+            F.coalesce(strict_sum("net_revenue").cast("decimal(28,4)"), F.lit(0)).alias("revenue"),
         )
     )
     long = reshape.to_long(
@@ -140,7 +140,7 @@ def daily_matrix(sales: DataFrame, day: str | None, venues: list[str], as_text:
         long, ["channel_group", "measure"], "venue", venues, {"value": F.sum("value")}
     )
     cells = {v: num_text(f"`{v}`") for v in venues} if as_text else {v: F.col(f"`{v}`") for v in venues}
-    default = F.lit("0") if as_text else F.lit(0.0)
+    default = F.lit("0") if as_text else F.lit(0)
     return wide.select(
         block_rank("channel_group").alias("block"),
         paste("channel_group", "measure", sep="").alias("channel"),

@@ -868,6 +868,28 @@ def bulk_orders(spark, sf):
     return digest(done, "production", "project", "session_ts", "channel_type", "channel_detail")
 
 
+@query(
+    "bulk_inline",
+    f"""with x as (select {pick_sql(['MA', 'MOR'], 'o_custkey')} as production, o_orderdate + interval 840 minute as session_ts,
+        o_orderdate as order_ts, '大客户-' || o_orderstatus as channel_detail, 280.0 as face_price,
+        cast(o_custkey % 9 as integer) as tickets, 280 * (o_custkey % 9) as net_revenue from orders)
+    select production, '大客户' as channel_type, channel_detail, strftime(session_ts, {TS}) as session_ts,
+      strftime(order_ts, {TS}) as order_ts, cast(face_price as double) as face_price, {DIGEST_SQL}
+    from x group by production, channel_detail, x.session_ts, x.order_ts, x.face_price""",
+)
+def bulk_inline(spark, sf):
+    raw = table(spark, sf, "orders").select(
+        pick(["MA", "MOR"], F.col("o_custkey")).alias("剧目"),
+        F.concat(day_text("o_orderdate"), F.lit(" 14:00:00")).alias("场次"),
+        day_text("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("下单时间"),
+        F.concat(F.lit("大客户-"), F.col("o_orderstatus")).alias("渠道明细"),
+        F.lit("280").alias("票价"),
+        text(F.lit(280) * (F.col("o_custkey") % 9)).alias("实收"),
+        text(F.col("o_custkey") % 9).alias("张数"),
+    )
+    return digest(ch.bulk_inline(raw), "production", *KEYS, "order_ts")
+
+
 # --------------------------------------------------------------------------- union and wide table
 @query(
     "union_by_name_pad",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ticketlake import dims
-from ticketlake.functions.dates import day_window
+from ticketlake.functions.dates import day_window, ntz
 from ticketlake.functions.nulls import is_in, not_in, strict_sum, sum0
 from ticketlake.operators.position import PART
 from ticketlake.plans import daily, inventory
@@ -144,6 +144,28 @@ def daily_matrix(spark, sf):
     return out(daily.sort_matrix(matrix))
 
 
+_TEXTS = ", ".join(
+    f"coalesce(rtrim(rtrim(cast(cast(sum(case when venue = '{v}' then value end) as decimal(28,4)) as varchar), '0'), '.'),"
+    f" '0') as \"{v}\""
+    for v in VENUES
+)
+
+
+@query(
+    "daily_matrix_text",
+    f"""{STD}, s as (select {GROUP_SQL} as channel_group, venue, cast(sum(tickets) as {MONEY}) as t,
+        cast(sum(net_revenue) as {MONEY}) as r from std where order_ts < timestamp '{BEFORE}' group by 1, 2),
+    l as (select channel_group, venue, '售票数' as measure, t as value from s
+          union all select channel_group, venue, '收入', r from s)
+    select channel_group || measure as channel, {_TEXTS} from l group by channel_group, measure""",
+)
+def daily_matrix_text(spark, sf):
+    rows = sales(
+        spark, sf, "order_ts", "channel_type", "venue", "tickets", "net_revenue", additive=True
+    ).filter(F.col("order_ts") < ntz(BEFORE))
+    return daily.daily_matrix(rows, None, VENUES).drop("block", "channel_group", "measure")
+
+
 _WEEKDAY = "(['周一','周二','周三','周四','周五','周六','周日'])[isodow(session_ts)]"
 _PAIRS = ", ".join(
     f"coalesce(max(case when g = '{c}' then {m} end), '') as \"{n}_{c}\""

@@ -79,11 +79,6 @@ def weekly_content_metrics(spark, sf):
     return out(weekly.content_all_weeks(content(spark, sf)))
 
 
-_CONTENT_WEEK = f"""select event_type as account, {_PLATFORM_SQL} as platform, count(*) as items, sum(floor(value)) as views,
-    cast(sum(event_id % 11) as double) as shares from events
-    where ts >= timestamp '{START}' and ts < timestamp '{END}' group by 1, 2"""
-
-
 @query(
     "partial_final_reaggregate",
     f"""select {_PLATFORM_SQL} as platform, event_type as account, cast(count(*) as bigint) as items, sum(floor(value)) as views,

@@ -42,6 +42,20 @@ def file_path() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
+def read_accounts(
+    spark: SparkSession, paths: dict[str, Paths], names: list[str], **options
+) -> DataFrame:
+    """Exports of several accounts as one table with an ``account`` column."""
+    parts = [
+        read_csv(spark, p, names, **options).withColumn("account", F.lit(account))
+        for account, p in paths.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def with_source(df: DataFrame) -> DataFrame:
     """Add the path of the file each row came from."""
     return df.withColumn(PART, file_path())
