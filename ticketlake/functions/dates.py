@@ -63,14 +63,14 @@ def excel_serial(c: ColumnOrName) -> Column:
 
 def make_ts(year: Column, month: Column, day: Column) -> Column:
     """Midnight of a date given in parts; impossible parts become NULL."""
-    text = F.concat_ws(
-        "-",
+    text = F.concat(
         F.lpad(year.cast("string"), 4, "0"),
+        F.lit("-"),
         F.lpad(month.cast("string"), 2, "0"),
+        F.lit("-"),
         F.lpad(day.cast("string"), 2, "0"),
     )
-    known = year.isNotNull() & month.isNotNull() & day.isNotNull()
-    return F.when(known, text.try_cast("timestamp_ntz"))
+    return text.try_cast("timestamp_ntz")
 
 
 def season_year(month: Column, last_early_month: int = 3, base: int = 2023) -> Column:
@@ -99,11 +99,15 @@ def zh_minute(c: ColumnOrName) -> Column:
 
 
 def session_from(c: ColumnOrName, pattern: str) -> Column:
-    """Session time from captures (date, hour, minute) or (date, hour:minute) of a pattern."""
+    """Session time from captures (date, hour, minute) or (date, hour:minute) of a pattern.
+
+    One replacement rewrites the text; captures taken one by one would match it again each time.
+    """
     c = as_col(c)
     groups = pattern.replace(r"\(", "").count("(")
-    clock = F.concat_ws(":", *[capture(c, pattern, g) for g in range(2, groups + 1)])
-    return parse_ts(F.concat(capture(c, pattern, 1), F.lit(" "), clock))
+    clock = ":".join(f"${g}" for g in range(2, groups + 1))
+    text = F.regexp_replace(c, f"^(?s:.*?){pattern}(?s:.*)$", f"$1 {clock}")
+    return F.when(c.rlike(pattern), text.try_cast("timestamp_ntz"))
 
 
 def normalize_session(c: ColumnOrName) -> Column:

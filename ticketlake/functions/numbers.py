@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .nulls import ColumnOrName, as_col
-from .text import capture
 
 
 def as_number(c: ColumnOrName) -> Column:
@@ -37,8 +36,9 @@ def magnitude(c: ColumnOrName, suffixes: str, whole: bool = True) -> Column:
     """
     c = as_col(c)
     body = r"\d*\.\d*" if not whole else r"\d*\.?\d*"
-    scaled = capture(c, rf"({body})[{suffixes}]$", 1)
-    return F.when(scaled.isNotNull(), as_number(scaled) * 10000).otherwise(as_number(c))
+    pattern = rf"({body})[{suffixes}]$"
+    scaled = as_number(F.regexp_extract(c, pattern, 1)) * 10000
+    return F.when(c.rlike(pattern), scaled).otherwise(as_number(c))
 
 
 def num_text(c: ColumnOrName) -> Column:

@@ -301,15 +301,17 @@ def show_orders(channel: str, rate: float = 0.94) -> Transform:
 def pickup_orders(raw: DataFrame, channel: str = "麦淘") -> DataFrame:
     """Session text ``MM-DD HH:mm``; months after January belong to the first season year."""
     spark = raw.sparkSession
-    text = capture("场次名称", r"([0-9 -:]+[0-9])")
-    year = F.when(F.substring(text, 1, 2) > "01", "2023-").otherwise("2024-")
-    rows = dims.price_label(spark).apply(raw, {"label": "套餐名称"}, into={"price": "face_price"})
+    # Text parts that are read several times become columns, so each pattern is matched once.
+    dated = raw.withColumn("_text", capture("场次名称", r"([0-9 -:]+[0-9])"))
+    year = F.when(F.substring("_text", 1, 2) > "01", "2023-").otherwise("2024-")
+    dated = dated.withColumn("_text", F.concat(year, F.col("_text")))
+    rows = dims.price_label(spark).apply(dated, {"label": "套餐名称"}, into={"price": "face_price"})
     rows = dims.package_label(spark).apply(rows, {"label": "售卖数量"}, into={"packs": "tickets"})
     return conform(
         rows.withColumns(
             {
                 **lits(channel_type=DIST_REPORTED, channel_detail=channel),
-                "session_ts": parse_ts(F.concat(year, text)),
+                "session_ts": parse_ts("_text"),
                 "order_ts": parse_ts("付款时间"),
                 "net_revenue": as_number("底价"),
                 "recipient_name": F.col("订单联系人"),
@@ -376,7 +378,9 @@ def worded_orders(raw: DataFrame, channel: str = "父母邦-北京") -> DataFram
     """Goods text ``票种：<price>档<wording>，使用时间：<session>``."""
     pattern = "票种：(\\d+)档(.*?)，使用时间：(.*)"
     rows = dims.single_wording(raw.sparkSession).apply(
-        raw.withColumn("_wording", capture("商品说明", pattern, 2)),
+        raw.withColumns(
+            {f"_{n}": capture("商品说明", pattern, i) for i, n in ((1, "price"), (2, "wording"), (3, "session"))}
+        ),
         {"label": "_wording"},
         into={"packs": "_packs"},
     )
@@ -384,8 +388,8 @@ def worded_orders(raw: DataFrame, channel: str = "父母邦-北京") -> DataFram
         rows.withColumns(
             {
                 **lits(channel_type=DIST_REPORTED, channel_detail=channel),
-                "session_ts": parse_ts(capture("商品说明", pattern, 3)),
-                "face_price": as_number(capture("商品说明", pattern, 1)),
+                "session_ts": parse_ts("_session"),
+                "face_price": as_number("_price"),
                 "tickets": F.col("_packs") * as_count("数量"),
                 "net_revenue": as_number("结算价小计"),
                 "recipient_name": F.col("用户姓名"),

@@ -154,16 +154,18 @@ def dashboard_items(
     """
     below = position.shift(lines, {"line": "_stats"}, STATS_BELOW, chunk_rows=chunk_rows)
     items = position.drop_first(below.filter(F.col("line").contains(MARKER)))
-    head, stats = F.split("line", TAG), F.split("_stats", TAG)
-    found = items.select(
+    split = items.select(
+        PART, ORDER, F.split("line", TAG).alias("_head"), F.split("_stats", TAG).alias("_stats")
+    )
+    found = split.select(
         PART,
         ORDER,
-        F.get(head, F.lit(TITLE_TOKEN - 1)).alias("标题"),
-        parse_published(F.get(head, F.lit(DATE_TOKEN - 1))).alias("发布时间"),
-        reshape.token_pairs(stats, pairs).alias("_pairs"),
+        F.get("_head", F.lit(TITLE_TOKEN - 1)).alias("标题"),
+        F.get("_head", F.lit(DATE_TOKEN - 1)).alias("_date"),
+        reshape.token_pairs(F.col("_stats"), pairs).alias("_pairs"),
     )
     return found.select(
-        PART, ORDER, "标题", "发布时间",
+        PART, ORDER, "标题", parse_published("_date").alias("发布时间"),
         *[reshape.pair_value(F.col("_pairs"), lbl).alias(lbl) for lbl in labels],
     )
 
