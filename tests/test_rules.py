@@ -184,3 +184,18 @@ def test_big_side_is_not_broadcast(spark, monkeypatch):
     assert "broadcast" not in plan.lower()
     plan = small_side(spark.range(5).toDF("k"))._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan.lower()
+
+
+def test_repeated_keys_with_different_values(spark):
+    rules = dims.text_map(spark, "m", [("a", "1"), ("a", "2"), ("b", "1"), ("b", "1")])
+    assert [r["label"] for r in rules.duplicates().collect()] == ["a"]
+
+
+def test_hot_code_is_attributed_without_a_shuffle(spark):
+    """A third of all rows with one code: the rule side is broadcast, the rows stay where they are."""
+    code = F.when(F.col("id") % 3 == 0, "zaoniaoduanxin").otherwise(F.concat(F.lit("c"), F.col("id") % 7))
+    df = spark.range(30_000).select(code.alias("code"), F.lit("2023-08-22").cast("timestamp_ntz").alias("at"))
+    got = sales.attribute(df, dims.referral(spark, RULES), "code", "at")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+    assert got.filter("action_date = '2023-08-21'").count() == 10_000

@@ -324,14 +324,17 @@ def revenue_by_account(
 
     ``owners`` maps an account group to (platform, account); without it the group is the account.
     """
-    rows = sales.filter(between("order_ts", start, end)).withColumn(
-        "label", owning_account("channel_detail")
+    # Sums per detail first: the prefixes are then tested once per detail, not once per row.
+    details = (
+        sales.filter(between("order_ts", start, end))
+        .groupBy("channel_detail")
+        .agg(strict_sum("tickets").alias("tickets"), strict_sum("net_revenue").alias("revenue"))
     )
-    # Group before the lookup: a handful of rows per week is left.
     sums = (
-        rows.filter(F.col("label") != dims.NO_ACCOUNT)
+        details.withColumn("label", owning_account("channel_detail"))
+        .filter(F.col("label") != dims.NO_ACCOUNT)
         .groupBy("label")
-        .agg(strict_sum("tickets").alias("tickets"), strict_sum("net_revenue").alias("revenue"))
+        .agg(strict_sum("tickets").alias("tickets"), strict_sum("revenue").alias("revenue"))
     )
     if owners is None:
         return sums.withColumnsRenamed({"label": "account"})

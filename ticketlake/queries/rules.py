@@ -174,12 +174,10 @@ def prefix_attribution(spark, sf):
     lines = table(spark, sf, "lineitem").select(
         pick(DETAILS, F.col("l_partkey")).alias("detail"), net_revenue().alias("net_revenue")
     )
-    owned = lines.withColumn("account", sales_plan.owning_account("detail"))
-    return out(
-        owned.groupBy("detail", "account").agg(
-            F.count(F.lit(1)).alias("lines"), F.sum("net_revenue").alias("revenue")
-        )
+    sums = lines.groupBy("detail").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("net_revenue").alias("revenue")
     )
+    return out(sums.withColumn("account", sales_plan.owning_account("detail")))
 
 
 # --------------------------------------------------------------------------- revenue multipliers
