@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, quality_sql
+from . import quality, quality_sql, warc
 
 
 @dataclass(frozen=True)
@@ -50,3 +50,25 @@ def query(name: str, sql: str | None = None):
 @query("op10_quality_rules", quality_sql.SQL)
 def quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.judge(table(spark, sf, "documents"))
+
+
+WARC_SQL = """
+with p as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+    sha256(coalesce(html, '')) as payload_digest
+  from pages
+),
+f as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as first_id
+  from p
+)
+select page_id, payload_bytes, payload_digest,
+  case when first_id is not null and page_id is distinct from first_id then 'revisit' else 'response' end as record_type,
+  case when page_id is distinct from first_id then first_id end as refers_to
+from f
+"""
+
+
+@query("op9_warc", WARC_SQL)
+def web_archive(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
