@@ -7,8 +7,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality, quality_sql, warc
+from . import language, quality, quality_sql, warc
+from .common import fold
 
 
 @dataclass(frozen=True)
@@ -72,3 +74,11 @@ from f
 @query("op9_warc", WARC_SQL)
 def web_archive(spark: SparkSession, sf: str) -> DataFrame:
     return warc.round_trip(table(spark, sf, "pages"))
+
+
+@query("op8_language")
+def language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    model = language.fit(language.sample(docs))
+    found = language.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
