@@ -2,7 +2,7 @@
 
 Writing: a payload longer than ``CHUNK`` bytes becomes one record and its continuation records, as
 the WARC format's segments, so a row never holds more than one chunk.  Records are rows of text whose
-separator is the record end, so Spark writes and splits the archives by itself, in whatever store the
+separator is the record end, so Spark writes and reads the archives by itself, in whatever store the
 shared folder is.  Whole records and segmented ones go to two folders.  Payloads that another record
 has already are written as revisit records too, with the full payload, so that every payload can be read
 back and checked.
@@ -29,6 +29,8 @@ from .common import shared_dir
 
 #: Bytes of payload in one record.
 CHUNK = 1 << 15
+#: Records in one compressed file, which is read by one task.
+RECORDS_PER_FILE = 50_000
 MIN_REVISIT = 100
 #: Parts that a digest's rows are spread over while they meet their response.
 SALTS = 16
@@ -110,7 +112,8 @@ def records(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def write_archive(pages: DataFrame, path: str, chunk: int = CHUNK) -> None:
-    records(pages, chunk).write.partitionBy("segmented").option("lineSep", END).text(path)
+    out = records(pages, chunk).write.partitionBy("segmented").option("maxRecordsPerFile", RECORDS_PER_FILE)
+    out.option("compression", "gzip").option("lineSep", END).text(path)
 
 
 def read_archive(spark: SparkSession, path: str, segmented: bool) -> DataFrame:
