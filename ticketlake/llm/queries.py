@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, quality_sql, warc
+from . import byte_bpe, language, packing, quality, quality_sql, warc
 from .common import fold
 
 
@@ -41,6 +41,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def add(fn):
         REGISTRY[name] = Query(fn, sql)
@@ -82,3 +89,17 @@ def language_id(spark: SparkSession, sf: str) -> DataFrame:
     model = language.fit(language.sample(docs))
     found = language.identify(docs.select("doc_id", "text"), model)
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_packing")
+def packed(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op7_byte_bpe")
+def byte_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    found = byte_bpe.round_trip(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
