@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language, packing, quality, quality_sql, warc
+from . import byte_bpe, language, packing, quality, quality_sql, toxicity, warc
 from .common import fold
 
 
@@ -103,3 +103,11 @@ def byte_bpe_round_trip(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     found = byte_bpe.round_trip(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query("op3_toxicity")
+def toxic_texts(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    machine = toxicity.fit(*toxicity.sample(docs, table(spark, sf, "labels")))
+    found = toxicity.score(docs, machine)
+    return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
