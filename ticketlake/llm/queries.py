@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, language, packing, quality, quality_sql, toxicity, warc
+from . import byte_bpe, html_text, language, packing, quality, quality_sql, toxicity, warc
 from .common import fold
 
 
@@ -111,3 +111,8 @@ def toxic_texts(spark: SparkSession, sf: str) -> DataFrame:
     machine = toxicity.fit(*toxicity.sample(docs, table(spark, sf, "labels")))
     found = toxicity.score(docs, machine)
     return found.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query("op4_html_text")
+def page_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.main_text(table(spark, sf, "pages"))
