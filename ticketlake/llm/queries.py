@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, language, packing, quality, quality_sql, toxicity, warc
+from . import byte_bpe, html_text, language, near_vectors, ngram_join, packing, quality, quality_sql, toxicity, warc
 from .common import fold
 
 
@@ -116,3 +116,13 @@ def toxic_texts(spark: SparkSession, sf: str) -> DataFrame:
 @query("op4_html_text")
 def page_text(spark: SparkSession, sf: str) -> DataFrame:
     return html_text.main_text(table(spark, sf, "pages"))
+
+
+@query("op6_ngram_join")
+def near_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf, "documents")).drop("uid")
+
+
+@query("op1_near_vectors")
+def near_vectors_of(spark: SparkSession, sf: str) -> DataFrame:
+    return near_vectors.link(table(spark, sf, "embeddings")).drop("uid")
