@@ -205,7 +205,7 @@ def grow(firsts: DataFrame, leaf: int, rounds: int = 12) -> Forest:
         if forest.splits + large.count() > MAX_SPLITS:
             return forest
         depth = F.least(F.lit(DEPTH), F.ceil(F.log2(F.col("n") / leaf))).cast("int")
-        plan = large.withColumn("depth", depth).withColumn("take", F.shiftleft(F.lit(SAMPLE), F.col("depth")))
+        plan = large.withColumn("depth", depth).withColumn("take", F.expr(f"shiftleft({SAMPLE}, depth)"))
         picked = at.join(plan, ["tree", "node"]).filter(F.pmod(F.xxhash64("uid", "tree"), F.col("n")) < F.col("take"))
 
         def fit(part: pd.DataFrame) -> pd.DataFrame:
@@ -222,7 +222,7 @@ def grow(firsts: DataFrame, leaf: int, rounds: int = 12) -> Forest:
         new = 0
         for row in fitted:
             name = (row["tree"], row["node"])
-            cuts = np.array(row["cuts"])
+            cuts = np.array([np.nan if c is None else c for c in row["cuts"]])
             if name not in ended and name not in forest.cuts and not np.isnan(cuts[0]):
                 forest.add(*name, cuts)
                 new += 1
