@@ -9,7 +9,19 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, html_text, language, near_vectors, ngram_join, packing, quality, quality_sql, toxicity, warc
+from . import (
+    byte_bpe,
+    html_text,
+    language,
+    lm_score,
+    near_vectors,
+    ngram_join,
+    packing,
+    quality,
+    quality_sql,
+    toxicity,
+    warc,
+)
 from .common import fold
 
 
@@ -126,3 +138,8 @@ def near_texts(spark: SparkSession, sf: str) -> DataFrame:
 @query("op1_near_vectors")
 def near_vectors_of(spark: SparkSession, sf: str) -> DataFrame:
     return near_vectors.link(table(spark, sf, "embeddings")).drop("uid")
+
+
+@query("op2_lm_score")
+def lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return lm_score.score(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
