@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlake.session import shared_dir, written
 
-__all__ = ["add_columns", "components", "fold", "kept", "shared_dir", "written"]
+__all__ = ["add_columns", "components", "fold", "kept", "shared_dir", "ship", "written"]
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers on this file system find the package, wherever they are started.
+
+    A cluster whose nodes lack it gets it with ``--py-files``.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
 
 
 def fold(key: str, size: int) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,7 +21,7 @@ from . import (
     toxicity,
     warc,
 )
-from .common import fold
+from .common import fold, ship
 
 
 @dataclass(frozen=True)
@@ -42,14 +41,8 @@ SCHEMAS = {
 }
 
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table; Python workers on this file system find the package wherever they are started."""
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(":")
-    if ROOT not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = ":".join([ROOT, *filter(None, paths)])
+    ship(spark)
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
