@@ -2,10 +2,10 @@
 
 Two words are alike by the runs of ``ORDER`` characters that both contain in order, gaps allowed; a run
 that spans s characters counts ``DECAY ** s``.  So ``idiot``, ``idi*ot`` and ``id-i-ot`` stay alike.
-The kernel is approximated on Nyström landmarks, words of the labelled texts, and a linear support vector machine is
-trained on the landmark features of words from labelled sentences: every word of a clean text is a
-negative example, and of each toxic text the word that looks worst so far is a positive one, with the words
-that far more toxic texts than clean ones hold; training and choice of witnesses alternate (multiple-instance learning).  A text scores as its worst word, and a
+The kernel is approximated on Nyström landmarks, words of the labelled texts, and a linear support
+vector machine is trained on the landmark features of words from labelled sentences: every word of a
+clean text is a negative example, and of each toxic text the word that looks worst so far is a positive one, with the words
+that far more toxic texts than clean ones hold, each also with a character put in; training and choice of witnesses alternate (multiple-instance learning).  A text scores as its worst word, and a
 logistic curve fitted on whole training texts turns that into 0 .. 1.
 
 The machine is linear in the landmarks, and a landmark is a sum over its subsequences.  So the fitted
@@ -36,7 +36,7 @@ from .common import add_columns, fold
 from .words import Spans, buffers, slices, text_array
 
 ORDER = 3
-DECAY = 0.6
+DECAY = 0.7
 #: Bytes of a word that are read at once, and how far windows of a longer one are apart.
 WORD = 20
 STEP = 12
@@ -276,7 +276,7 @@ def suspicion(toxic: list[list[bytes]], clean: list[list[bytes]]) -> dict[bytes,
 
 
 def train(
-    positive: dict[bytes, int], negative: dict[bytes, float], landmarks: list[bytes], classes: np.ndarray
+    positive: dict[bytes, float], negative: dict[bytes, float], landmarks: list[bytes], classes: np.ndarray
 ) -> Machine:
     """Nyström features of the weighted words on the landmarks, a linear machine, folded into weights."""
     size, turn = np.linalg.eigh(gram(landmarks, landmarks, classes).astype(np.float64))
@@ -338,10 +338,16 @@ def fit(texts: list[str], labels: list[int]) -> Machine:
     bags_clean = [np.array([number[w] for w in t]) for t in clean]
     machine = None
     for _ in range(ROUNDS):
-        positive: dict[bytes, int] = {}
+        positive: dict[bytes, float] = {}
         for w in [*chosen, *strong]:
             if len(w) >= ORDER and w not in times:
                 positive[w] = positive.get(w, 0) + 1
+        # Spellings with something put in between are insults too; all of a word weigh half as much as it.
+        for w in [w for w in positive if len(w) < WORD]:
+            for k in range(2, len(w) - 1):
+                for between in (b"*", b".", b"-"):
+                    gapped = w[:k] + between + w[k:]
+                    positive.setdefault(gapped, positive[w] / (6 * len(w)))
         if not positive:
             return untrained()
         worst_clean: dict[bytes, int] = {}
