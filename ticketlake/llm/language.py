@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import add_columns, fold
-from .words import SLICE_BYTES, buffers, slices, text_array
+from .words import buffers, slices, text_array
 
 #: Bytes of labelled text per language that an automaton is fitted on, and how much of one text.
 SAMPLE_BYTES = 24_000
@@ -37,6 +37,8 @@ SAMPLE_PER_TEXT = 1_500
 SAMPLE_TEXTS = 200
 MAX_LANGUAGES = 64
 BLOCK = 1024
+#: Bytes of text that move on together.
+LANE_BYTES = 1 << 23
 _MISS = np.int32(1 << 30)
 
 
@@ -122,7 +124,7 @@ def phrases(model: Automata, texts: pa.Array) -> np.ndarray:
     """Phrases that each text needs, one column per language."""
     out = np.zeros((len(texts), len(model.names)), np.int64)
     low = letters(texts)
-    for start, end in slices(low, SLICE_BYTES * 4):
+    for start, end in slices(low, LANE_BYTES):
         data, off = buffers(low.slice(start, end - start))
         sizes = np.diff(off)
         blocks = -(-sizes // BLOCK)

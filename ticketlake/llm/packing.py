@@ -67,7 +67,7 @@ def tokenizer(path: str):
     fast = Encoding("pieces", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
 
     def ids(text: str) -> np.ndarray:
-        if _COMMON.fullmatch(text):
+        if text.isascii() and text.isprintable() or _COMMON.fullmatch(text):
             return np.asarray(fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=()), np.uint32)
         return np.asarray(own.encode(text, add_special_tokens=False).ids, np.uint32)
 

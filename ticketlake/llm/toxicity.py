@@ -44,6 +44,8 @@ LANDMARKS = 256
 #: Labelled texts of each kind that the machine is fitted on.
 SAMPLE_TEXTS = 1_000
 ROUNDS = 4
+#: Bytes of text whose different words are scored together.
+TOGETHER = 1 << 21
 #: Words of clean texts that each round learns from, besides the worst ones.
 NEGATIVES = 8_000
 #: Evidence that a first witness needs, and that makes every word that has it a positive example.
@@ -157,7 +159,7 @@ def worst_words(machine: Machine, texts: pa.Array) -> np.ndarray:
     """The highest value among each text's words."""
     out = np.full(len(texts), machine.bias, np.float64)
     low = pc.utf8_lower(texts)
-    for start, end in slices(low):
+    for start, end in slices(low, TOGETHER):
         data, off = buffers(low.slice(start, end - start))
         spans = Spans(data, off)
         ws, we, ranges = spans.words()

@@ -12,8 +12,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are worked on at once; a longer single text is a slice of its own.
-SLICE_BYTES = 1 << 21
+#: Bytes of text that are worked on at once, so that the arrays over them stay in a core's cache; a longer
+#: single text is a slice of its own.
+SLICE_BYTES = 1 << 18
 
 # White space that ends a word, [\x20\x09-\x0D].
 SPACE = np.zeros(256, bool)
@@ -31,11 +32,11 @@ def _power(base: int, n: int) -> np.ndarray:
     """base ** 0 .. base ** n modulo 2 ** 64."""
     have = _powers.get(base)
     if have is None or len(have) <= n:
-        size = max(n, SLICE_BYTES) + 1
+        size = max(n, 4 * SLICE_BYTES) + 1
         have = np.full(size, base, dtype=np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if size <= 2 * SLICE_BYTES:
+        if size <= 1 << 23:
             _powers[base] = have
     return have[: n + 1]
 
