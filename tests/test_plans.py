@@ -82,9 +82,12 @@ def test_breakdowns(sales):
 
 
 def test_session_daily(sales):
-    wide = daily.session_daily(sales, DAY, ["自营", "分销"])
+    with pytest.raises(Exception, match="no column for channel group"):
+        daily.session_daily(sales, DAY, ["自营", "分销"]).collect()
+    wide = daily.session_daily(sales, DAY, ["自营", "分销", "票务网站", "NA"])
+    assert got(wide, "project", "tickets_票务网站", "tickets_NA") == {("p1", "", ""), ("p2", "", ""), ("p2", "3", "4")}
     assert got(wide, "project", "weekday", "tickets_自营", "revenue_自营", "tickets_分销") == {
-        ("p1", "周四", "2", "200", ""), ("p2", "周四", "2", "", ""), ("p1", "周五", "5", "70", "2"), ("p2", "周五", "", "", ""),
+        ("p1", "周四", "2", "200", ""), ("p2", "周四", "2", None, ""), ("p1", "周五", "5", "70", "2"), ("p2", "周五", "", "", ""),
     }
 
 
@@ -173,3 +176,11 @@ def test_append_stream_emits_final_days_only(spark, tmp_path):
         conform(spark.createDataFrame(rows, ["channel_type", "order_ts", "tickets", "net_revenue"])).coalesce(1).write.mode("append").parquet(folder)
         flows.run_available(flows.daily_revenue(flows.parquet_files(spark, folder, SALES_SCHEMA)), out, check)
     assert got(spark.read.parquet(out), "order_day", "tickets") == {(dt.date(2024, 1, 1), 2)}
+
+
+def test_sell_through_meets_missing_keys(spark):
+    columns = "production string, session_ts timestamp_ntz, face_price decimal(18,4), tickets int, net_revenue decimal(18,4)"
+    sold = spark.createDataFrame([("MA", None, None, 3, None)], columns).withColumn("net_revenue", F.lit(30).cast("decimal(18,4)"))
+    asked = spark.createDataFrame([("MA", None, None), ("MOR", None, None)], "production string, session_ts timestamp_ntz, tier decimal(18,4)")
+    found = {r["production"]: r["tickets"] for r in daily.sell_through(asked, sold).collect()}
+    assert found == {"MA": 3, "MOR": 0}

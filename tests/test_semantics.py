@@ -195,3 +195,29 @@ def test_relocate(spark):
     assert reshape.relocate(df, ["a"], last=True).columns == ["b", "c", "a"]
     assert reshape.relocate(df, ["c"], before="b").columns == ["a", "c", "b"]
     assert reshape.relocate(df, ["a"], after="b").columns == ["b", "a", "c"]
+
+
+def test_marks_need_the_whole_number(spark):
+    row = spark.range(1).select(*[N.magnitude(F.lit(x), "Ww") for x in ("1,080W", "x1W", "3W")]).first()
+    assert tuple(row) == (None, None, 30000.0)
+
+
+def test_first_patch_wins(spark):
+    from ticketlake.operators.lookup import patch_overlay
+
+    orders = spark.createDataFrame([("1", "x"), ("2", "y")], "k string, v string")
+    patches = spark.createDataFrame([("1", None, 1), ("1", "zz", 2), ("1", "aa", 3)], "k string, v string, n int")
+    for given, order in ((patches, "n"), (patches.select("k", "v").coalesce(1), None)):
+        assert {tuple(r) for r in patch_overlay(orders, given, "k", "v", order=order).collect()} == {("1", "zz"), ("2", "y")}
+
+
+def test_numbers_that_do_not_fit_fail(spark):
+    import pytest
+
+    from ticketlake.schema import conform
+
+    for row in ((5e14 * 1000, 1.0), (1.0, 3e9)):
+        with pytest.raises(Exception, match="does not fit"):
+            conform(spark.createDataFrame([row], "net_revenue double, tickets double")).collect()
+    got = conform(spark.createDataFrame([("x", "y")], "net_revenue string, tickets string")).first()
+    assert (got["net_revenue"], got["tickets"]) == (None, None)

@@ -188,7 +188,7 @@ def test_sheet_inventory_from_files(spark, tmp_path):
     put(tmp_path, "2024-03-22 周五 20-00/s.csv", grid_lines(rows, 17))
     done = inventory.platform_inventory(readers.read_grid(spark, str(tmp_path) + "/*", 17))
     got = sorted((r["session_ts"], int(r["tier"]), r["channel_sold"]) for r in done.collect())
-    assert got == [(D(2024, 3, 22, 20), p, p // 10) for p in (280, 480, 680, 880)]
+    assert got == [(D(2024, 3, 22, 20), p, p // 10) for p in (180, 280, 480, 680, 880)]
 
 
 def test_worded_and_platform_orders(spark):

@@ -35,8 +35,8 @@ def magnitude(c: ColumnOrName, suffixes: str, whole: bool = True) -> Column:
     mark, so ``2万`` is not a number.
     """
     c = as_col(c)
-    body = r"\d*\.\d*" if not whole else r"\d*\.?\d*"
-    pattern = rf"({body})[{suffixes}]$"
+    body = r"(\d*\.\d*)" if not whole else r"^(\d*\.?\d*)"
+    pattern = rf"{body}[{suffixes}]$"
     scaled = as_number(F.regexp_extract(c, pattern, 1)) * 10000
     return F.when(c.rlike(pattern), scaled).otherwise(as_number(c))
 

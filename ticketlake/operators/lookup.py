@@ -21,13 +21,18 @@ def small_side(dim: DataFrame, rows: int | None = None) -> DataFrame:
 
 
 def patch_overlay(
-    df: DataFrame, patches: DataFrame, key: str, value: str, rows: int | None = None
+    df: DataFrame, patches: DataFrame, key: str, value: str, rows: int | None = None, order: str | None = None
 ) -> DataFrame:
-    """Overwrite ``value`` for the listed keys; one patch per key, other rows unchanged."""
+    """Overwrite ``value`` for the listed keys; of a key's patches the first wins, other rows are unchanged.
+
+    ``order`` names the column that numbers the patches; without one they count as they are listed.
+    """
+    line = F.col(order) if order else F.monotonically_increasing_id()
     one = (
-        patches.filter(F.col(value).isNotNull())
+        patches.withColumn("_line", line)
+        .filter(F.col(value).isNotNull())
         .groupBy(key)
-        .agg(F.min(value).alias("_patched"))
+        .agg(F.min_by(value, "_line").alias("_patched"))
         .withColumnRenamed(key, "_patch_key")
     )
     joined = df.join(small_side(one, rows), F.col(key) == F.col("_patch_key"), "left")
@@ -37,8 +42,3 @@ def patch_overlay(
 def require(c: Column, what: str) -> Column:
     """The value, or a failed job that names what was missing."""
     return F.coalesce(c, F.raise_error(F.lit(f"undefined {what}")).cast("double"))
-
-
-def unpatched_keys(df: DataFrame, seen: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is not in ``seen``."""
-    return df.join(seen.select(F.col(key)).distinct(), key, "left_anti")

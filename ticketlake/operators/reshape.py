@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.functions.nulls import as_col
 
 
 def to_long(
@@ -33,11 +32,6 @@ def to_wide(
     return wide.withColumnsRenamed({f"{lbl}_{k}": f"{k}_{lbl}" for lbl in labels for k in values})
 
 
-def first_per_cell(c: str) -> Column:
-    """One value per pivot cell; a repeated key keeps the smallest, so the result is stable."""
-    return F.min(as_col(c))
-
-
 def graded_wide(
     df: DataFrame, ids: list[str], grades: list[str], attrs: dict[str, str], grade: str = "grade"
 ) -> DataFrame:

@@ -123,17 +123,20 @@ def parse_block_report(
         .filter(not_in("policy", [SUBTOTAL, TOTAL]))
         .withColumns({t: strip_commas(t) for t in BLOCK_TIERS})
     )
-    ids = [PART, "channel", "policy", "session_ts"]
+    # A channel and session may have several blocks, each with its own cells.
+    ids = [PART, "block", "channel", "policy", "session_ts"]
     long = reshape.to_long(tagged, [*ids, "kind"], BLOCK_TIERS, "tier", "amount")
     wide = reshape.to_wide(
         long,
         [*ids, "tier"],
         "kind",
         [KIND_COUNT, KIND_AMOUNT],
-        {"value": reshape.first_per_cell("amount")},
+        {"value": F.sum("amount")},
     )
-    return wide.withColumnsRenamed({KIND_COUNT: "count", KIND_AMOUNT: "amount"}).filter(
-        "count <> 0 or amount <> 0"
+    return (
+        wide.withColumnsRenamed({KIND_COUNT: "count", KIND_AMOUNT: "amount"})
+        .drop("block")
+        .filter("count <> 0 or amount <> 0")
     )
 
 
@@ -498,11 +501,16 @@ def section_report(
 
 # Fixed values: (tier, 1-based column of its sold count, least number of columns that has it).
 SUMMARY_TIERS = [(680, 5, 0), (880, 7, 8)]
-SUMMARY_HEADER, SUMMARY_ROWS = 1, (2, 6)
+SUMMARY_HEADER, SUMMARY_FIRST = 1, 2
 
 
-def summary_rows(grid: DataFrame, complete: bool = True, files: int | None = None) -> DataFrame:
-    """Summary report to one row per session and tier.
+def summary_rows(
+    grid: DataFrame,
+    complete: bool = True,
+    files: int | None = None,
+    tier_columns: list[tuple[int, int, int]] = SUMMARY_TIERS,
+) -> DataFrame:
+    """Summary report to one row per session and tier; rows without a session are no sessions.
 
     A tier exists once the report is wide enough.  With ``complete`` a row with any empty cell is
     left out.
@@ -515,7 +523,7 @@ def summary_rows(grid: DataFrame, complete: bool = True, files: int | None = Non
     width = (
         grid.filter(F.col(ORDER) == SUMMARY_HEADER).select(PART, filled.alias("_width"))
     )
-    rows = readers.attach_to_source(readers.rows_between(grid, *SUMMARY_ROWS), width, files)
+    rows = readers.attach_to_source(readers.rows_between(grid, SUMMARY_FIRST), width, files)
     if complete:
         rows = rows.filter(F.forall(F.slice(cells, F.lit(1), F.col("_width")), lambda c: c.isNotNull()))
     tiers = F.array(
@@ -526,14 +534,14 @@ def summary_rows(grid: DataFrame, complete: bool = True, files: int | None = Non
                     F.lit(price).cast("double").alias("price"), as_number(names[i - 1]).alias("sold")
                 ),
             )
-            for price, i, least in SUMMARY_TIERS
+            for price, i, least in tier_columns
         ]
     )
     return rows.select(
         PART,
         zh_minute(names[1]).alias("session_ts"),
         F.inline(F.filter(tiers, lambda t: t.isNotNull())),
-    )
+    ).filter(F.col("session_ts").isNotNull())
 
 
 def summary_report(grid: DataFrame, venue: str, production: str, file_pattern: str) -> DataFrame:

@@ -57,7 +57,8 @@ def daily_summary_all_days(sales: DataFrame) -> DataFrame:
 
 def session_summary(sales: DataFrame) -> DataFrame:
     """Tickets and revenue by project, session and price."""
-    return sales.groupBy("project", "session_ts", "face_price").agg(*totals())
+    sums = sales.groupBy("project", "session_ts", "face_price").agg(*totals())
+    return sums.orderBy(*na_last("session_ts", "face_price"))
 
 
 def project_total(sales: DataFrame, exclude_bulk: bool = False) -> DataFrame:
@@ -80,6 +81,7 @@ def action_performance(sales: DataFrame, day: str | None) -> DataFrame:
         .withColumn("action_type", F.coalesce(grouped, F.lit(NATURAL)))
         .groupBy("action_date", "channel_detail", "action_type")
         .agg(F.countDistinct(paste("order_ts", "recipient_phone")).alias("orders"), *totals())
+        .orderBy(*na_last("action_type", "-revenue"))
     )
 
 
@@ -164,20 +166,25 @@ def distributor_breakdown(sales: DataFrame, day: str | None) -> DataFrame:
     """Sales of distributors by action; a channel of unknown type counts as a distributor."""
     rows = sales.filter(not_in("channel_type", NOT_DISTRIBUTORS))
     rows = rows.filter(day_window("order_ts", day)) if day else rows
-    return rows.groupBy("action_date", "channel_detail").agg(*totals(strict_sum, strict_sum))
+    sums = rows.groupBy("action_date", "channel_detail").agg(*totals(strict_sum, strict_sum))
+    return sums.orderBy(*na_last("-action_date", "-revenue"))
 
 
 def platform_breakdown(sales: DataFrame, day: str | None) -> DataFrame:
     """Sales of ticketing platforms by action and project."""
     rows = sales.filter(F.col("channel_type") == PLATFORM)
     rows = rows.filter(day_window("order_ts", day)) if day else rows
-    return rows.groupBy("action_date", "channel_detail", "project").agg(
-        *totals(strict_sum, strict_sum)
-    )
+    sums = rows.groupBy("action_date", "channel_detail", "project").agg(*totals(strict_sum, strict_sum))
+    return sums.orderBy(*na_last("-action_date", "-revenue"))
 
 
 def session_daily(sales: DataFrame, day: str | None, channels: list[str]) -> DataFrame:
-    """Sales per session and weekday, one pair of columns per channel group; bulk counts as direct."""
+    """Sales per session and weekday, one pair of columns per channel group; bulk counts as direct.
+
+    A session without sales of a group has empty text there, an unknown sum is unknown.  Sales of a
+    group that ``channels`` lacks are no silent loss: the job fails and names the group.  An unknown
+    channel is the group ``NA``.
+    """
     rows = sales.filter(day_window("order_ts", day)) if day else sales
     grouped = rows.withColumn("channel_group", channel_group())
     merged = if_else(F.col("channel_group") == BULK, F.lit(SELF), F.col("channel_group"))
@@ -190,14 +197,23 @@ def session_daily(sales: DataFrame, day: str | None, channels: list[str]) -> Dat
             {"tickets": num_text("tickets"), "revenue": num_text("revenue"), "weekday": zh_weekday("session_ts")}
         )
     )
+    group = F.coalesce("channel_group", F.lit("NA"))
+    known = F.when(group.isin(channels), group).otherwise(
+        F.raise_error(F.concat(F.lit("no column for channel group "), group))
+    )
     wide = reshape.to_wide(
-        sums,
+        sums.withColumn("channel_group", known),
         ["session_ts", "project", "weekday"],
         "channel_group",
         channels,
-        {"tickets": F.first("tickets"), "revenue": F.first("revenue")},
+        {"tickets": F.first("tickets"), "revenue": F.first("revenue"), "hit": F.first(F.lit(True))},
     )
-    return wide.na.fill("", [f"{m}_{c}" for c in channels for m in ("tickets", "revenue")])
+    cells = {
+        f"{m}_{c}": F.when(F.col(f"`hit_{c}`").isNull(), F.lit("")).otherwise(F.col(f"`{m}_{c}`"))
+        for c in channels
+        for m in ("tickets", "revenue")
+    }
+    return wide.withColumns(cells).drop(*[f"hit_{c}" for c in channels]).orderBy("session_ts")
 
 
 def campaign_performance(sales: DataFrame, before: str, reach: RuleSet) -> DataFrame:
@@ -285,7 +301,10 @@ def sell_through(requests: DataFrame, sold: DataFrame, capacity: RuleSet | None
         .agg(*totals(strict_sum, strict_sum))
         .withColumn("_hit", F.lit(True))
     )
-    out = requests.join(sums, keys, "left")
+    sums = sums.withColumnsRenamed({k: f"_{k}" for k in keys})
+    # A request without a session or tier meets the sales without one.
+    on = null_safe_on(requests, sums, [(k, f"_{k}") for k in keys])
+    out = requests.join(sums, on, "left").drop(*[f"_{k}" for k in keys])
     # Only a request without any sale is 0; an unknown sum stays unknown.
     out = out.withColumns(
         {

@@ -24,7 +24,7 @@ STATES = [
     "channel_available", "channel_sold",
 ]
 # Cells of one session sheet.
-SHEET_ROWS, SHEET_CELLS = (2, 5), {"label": 1, "channel_sold": 3, "channel_available": 17}
+SHEET_FIRST, SHEET_CELLS = 2, {"label": 1, "channel_sold": 3, "channel_available": 17}
 SHEET_SESSION = r"(\d{4}-\d{2}-\d{2}).*?(\d{2})-(\d{2})"
 # One start time with seconds in the source.
 SESSION_FIXES = {"2024-03-29 20:00:14": "2024-03-29 20:00:00"}
@@ -53,14 +53,15 @@ def self_inventory(raw: DataFrame, productions: list[str]) -> DataFrame:
 
 
 def platform_inventory(grid: DataFrame) -> DataFrame:
-    """One sheet per session; the sheet's name is the session."""
-    rows = readers.rows_between(grid, *SHEET_ROWS)
-    return readers.pick(rows, SHEET_CELLS).select(
+    """One sheet per session; the sheet's name is the session, and every row with a tier counts."""
+    rows = readers.rows_between(grid, SHEET_FIRST)
+    done = readers.pick(rows, SHEET_CELLS).select(
         sheet_session(readers.sheet_name()).alias("session_ts"),
         tier_col(capture("label", r"(\d*)")).alias("tier"),
         as_number("channel_available").alias("channel_available"),
         as_number("channel_sold").alias("channel_sold"),
     )
+    return done.filter(F.col("tier").isNotNull())
 
 
 def summary_inventory(grid: DataFrame) -> DataFrame:
@@ -159,8 +160,7 @@ def by_session(tiers: DataFrame) -> DataFrame:
 
 def only_sessions(df: DataFrame, sessions: list[str]) -> DataFrame:
     """Rows of the listed sessions."""
-    return df.join(
-        F.broadcast(dims.session_table(df.sparkSession, sessions)), "session_ts", "left_semi"
-    )
+    listed = small_side(dims.session_table(df.sparkSession, sessions), len(sessions))
+    return df.join(listed, "session_ts", "left_semi")
 
 

@@ -6,7 +6,6 @@ tables that Spark derives from them.  Next to it stands the same result in SQL.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -57,11 +56,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def stream_of(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """The same table as a file stream, whether it is one file or a folder."""
-    schema = table(spark, sf, name).schema
-    path = f"{sf}/{name}.parquet"
-    if os.path.isdir(path):
-        return spark.readStream.schema(schema).parquet(path)
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    given = table(spark, sf, name)
+    files = given.inputFiles()
+    if len(files) == 1 and files[0].endswith(f"/{name}.parquet"):
+        return spark.readStream.schema(given.schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(given.schema).parquet(f"{sf}/{name}.parquet")
 
 
 def out(df: DataFrame) -> DataFrame:

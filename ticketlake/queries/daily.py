@@ -366,20 +366,23 @@ _REQ = [
 
 @query(
     "tuple_sell_through",
-    f"""{STD}, req as (select distinct production, session_ts, face_price as tier from std
-          where tickets = 50
+    f"""{STD}, given as (select production, case when tickets <> 49 then session_ts end as session_ts, face_price,
+            tickets, net_revenue from std),
+    req as (select distinct production, session_ts, face_price as tier from given where tickets in (49, 50)
           union all select a, cast(b as timestamp), cast(c as {MONEY}) from {values_sql(_REQ, "v", "a, b, c")}),
     agg as (select production, session_ts, face_price as tier, sum(tickets) as t, sum(net_revenue) as r
-            from std group by 1, 2, 3)
+            from given group by 1, 2, 3)
     select req.production, strftime(req.session_ts, {TS}) as session_ts, cast(req.tier as double) as tier,
       cast(coalesce(t, 0) as bigint) as tickets, cast(coalesce(r, 0) as double) as revenue
-    from req left join agg on req.production = agg.production and req.session_ts = agg.session_ts
-      and req.tier = agg.tier""",
+    from req left join agg on req.production is not distinct from agg.production
+      and req.session_ts is not distinct from agg.session_ts and req.tier is not distinct from agg.tier""",
 )
 def tuple_sell_through(spark, sf):
     rows = sales(spark, sf, "production", "session_ts", "face_price", "tickets", "net_revenue")
+    # Some sales and requests lack the session; they meet each other.
+    rows = rows.withColumn("session_ts", F.when(F.col("tickets") != 49, F.col("session_ts")))
     asked = (
-        rows.filter("tickets = 50")
+        rows.filter("tickets in (49, 50)")
         .select("production", "session_ts", F.col("face_price").alias("tier"))
         .distinct()
     )
@@ -504,7 +507,7 @@ def anti_join_manifest(spark, sf):
         .filter("o_orderpriority = '1-URGENT'")
         .select(F.date_format("o_orderdate", "yyyy-MM-dd").alias(PART))
     )
-    return ingest.unread(files, manifest).groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
+    return ingest.new_files(files, manifest).groupBy(PART).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query(

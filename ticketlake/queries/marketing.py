@@ -108,7 +108,7 @@ def follower_snapshot_change(spark, sf):
     return week.select("platform", "account", "followers", "before", "net")
 
 
-_LABELS = ["view", "click", "signup", "error"]
+_LABELS = ["view", "click", "signup", "error", "purchase"]
 _SOCIAL = [("view", "微信", "view"), ("click", "微信", "click"), ("error", "微博", "error")]
 
 
@@ -123,7 +123,7 @@ def _monday_wide(spark, sf) -> DataFrame:
 @query(
     "last_two_snapshots",
     f"""with w as (select date_trunc('week', ts) as week, event_type as label, count(*) as n from events
-        where event_type in ('view', 'click', 'signup', 'error') group by 1, 2),
+        group by 1, 2),
     r as (select *, dense_rank() over (order by week desc) as k from w)
     select coalesce(p, '') as platform, coalesce(a, '') as account, cast(max(case when k = 1 then n end) as bigint) as followers,
       cast(max(case when k = 1 then n end) - max(case when k = 2 then n end) as bigint) as change

@@ -128,7 +128,7 @@ def interval_unknown_audit(spark, sf):
     return dims.referral(spark, REFERRAL).audit(events, {"code": "event_type"}, "ts")
 
 
-_SESSIONS_SEEN = [x for x, _ in dims.SESSION_LABELS[:12]] + ["11.18 19:30", "foo", "12.2 19:30"]
+_SESSIONS_SEEN = [x for x, _ in dims.SESSION_LABELS] + ["11.18 19:30", "foo", "12.2 19:30"]
 _EXTRA = [("11.18 19:30", "2099-01-01 00:00:00"), ("foo", "2024-02-02 20:00:00")]
 
 
@@ -299,9 +299,7 @@ def article_alias(spark, sf):
 
 @query(
     "project_venue",
-    f"""with cal as (select * from {values_sql(
-        [(p, f'{d} {start}:00', pr, v) for p, pr, v, m, e, md, ed in dims.RUNS
-         for start, on in ((m, md), (e, ed)) for d in dims.days(on)], 'c', 'production, session, project, venue')}),
+    f"""with cal as (select * from {values_sql(dims.CALENDAR, 'c', 'production, session, project, venue')}),
     x as (select {pick_sql(['MA', 'MOR'], 'event_id')} as production,
       strftime(timestamp '2023-11-01' + to_days(cast(event_id % 92 as integer)), '%Y-%m-%d') ||
         {pick_sql([' 14:30:00', ' 19:30:00', ' 14:00:00'], 'user_id')} as session from events)
@@ -369,9 +367,11 @@ def patch_overlay_query(spark, sf):
         .filter(_PATCHED)
         .select("o_orderkey", F.concat(F.lit("patched-"), F.col("o_custkey") % 7).alias("code"))
     )
-    # A repeated patch line must not repeat the order.
-    twice = patches.unionByName(patches)
-    return patch_overlay(orders, twice, "o_orderkey", "code").groupBy("code").agg(
+    # A repeated patch line must not repeat the order, and the first one listed wins.
+    twice = patches.withColumn("line", F.lit(1)).unionByName(
+        patches.select("o_orderkey", F.lit("a later patch").alias("code"), F.lit(2).alias("line"))
+    )
+    return patch_overlay(orders, twice, "o_orderkey", "code", order="line").groupBy("code").agg(
         F.count(F.lit(1)).alias("orders")
     )
 

@@ -352,10 +352,11 @@ def inventory_self(spark, sf):
     "inventory_sheets",
     f"""with s as (select l_shipdate, l_partkey % 4 as g, sum(l_quantity) as a, sum(l_linenumber) as b from lineitem group by 1, 2)
     select strftime(l_shipdate + interval 1200 minute, {TS}) as session_ts, cast(280 + 200 * g as double) as tier,
-      cast(a as bigint) as channel_available, cast(b as bigint) as channel_sold from s""",
+      cast(a as bigint) as channel_available, cast(b as bigint) as channel_sold from s
+    union all select distinct strftime(l_shipdate + interval 1200 minute, {TS}), 1080, 9, 9 from s""",
 )
 def inventory_sheets(spark, sf):
-    """One sheet per session: two heading rows, then four tier rows; more rows are ignored."""
+    """One sheet per session: two heading rows, then five tier rows and a last one without a tier."""
     g = F.pmod(F.col("l_partkey"), F.lit(4))
     sums = (
         table(spark, sf, "lineitem")
@@ -365,13 +366,13 @@ def inventory_sheets(spark, sf):
     tail = sums.select("l_shipdate").distinct().withColumns(
         {"g": F.lit(4).cast("long"), "a": F.lit(9).cast("long"), "b": F.lit(9).cast("long")}
     )
-    rows = sums.unionByName(tail).withColumns(
+    rows = sums.unionByName(tail).unionByName(tail.withColumn("g", F.lit(5).cast("long"))).withColumns(
         {
             PART: F.concat(F.lit("in/"), F.date_format("l_shipdate", "yyyy-MM-dd"), F.lit(" 周五 20-00/s.csv")),
             ORDER: F.col("g") + 2,
         }
     )
-    label = F.concat((F.lit(280) + F.col("g") * 200).cast("string"), F.lit("元"))
+    label = F.when(F.col("g") < 5, F.concat((F.lit(280) + F.col("g") * 200).cast("string"), F.lit("元"))).otherwise("合计")
     grid = cell_grid(rows, 17, {1: label, 3: F.col("b"), 17: F.col("a")})
     done = inventory.platform_inventory(grid)
     return out(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -86,20 +86,39 @@ CONTENT_SCHEMA = T.StructType(
 
 
 def conform(df: DataFrame, schema: T.StructType = SALES_SCHEMA) -> DataFrame:
-    """Exactly the schema's columns, in its order and types; absent columns are typed NULLs."""
-    have = set(df.columns)
+    """Exactly the schema's columns, in its order and types; absent columns are typed NULLs.
+
+    Text that is no value of the type becomes NULL.  A number that the type cannot hold fails the job:
+    as NULL it would be missing from sums without a word.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
         [
-            (
-                F.col(f"`{f.name}`").try_cast(f.dataType)
-                if f.name in have
-                else F.lit(None).cast(f.dataType)
-            ).alias(f.name)
+            (fitted(f, have[f.name]) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in schema.fields
         ]
     )
 
 
+def fitted(field: T.StructField, given: T.DataType) -> Column:
+    c = F.col(f"`{field.name}`")
+    if given == field.dataType:
+        return c
+    cast = c.try_cast(field.dataType)
+    if not isinstance(field.dataType, T.NumericType):
+        return cast
+    if isinstance(field.dataType, T.DecimalType):
+        most = 10.0 ** (field.dataType.precision - field.dataType.scale)
+    elif isinstance(field.dataType, (T.IntegerType, T.LongType)):
+        most = 2.0 ** (31 if isinstance(field.dataType, T.IntegerType) else 63)
+    else:
+        return cast
+    number = c.try_cast("double")
+    too_big = cast.isNull() & (F.abs(number) >= most) & ~F.isnan(number)
+    message = F.concat(F.lit(f"{field.name} does not fit {field.dataType.simpleString()}: "), c.cast("string"))
+    return F.when(too_big, F.raise_error(message).cast(field.dataType)).otherwise(cast)
+
+
 def from_labels(df: DataFrame) -> DataFrame:
     """Rename source labels to canonical names where present."""
     back = {v: k for k, v in SALES_LABELS.items()}

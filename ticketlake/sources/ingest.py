@@ -2,23 +2,25 @@
 
 from __future__ import annotations
 
+import copy
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ticketlake.operators.lookup import small_side
 from ticketlake.operators.position import PART
 
+BATCH = "batch"
+MANIFEST = f"{PART} string, {BATCH} string"
+
 
 def new_files(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """Files that are not in the manifest of processed files."""
     return files.join(manifest.select(PART).distinct(), PART, "left_anti")
 
 
-def unread(df: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Rows of files that have not been processed yet."""
-    return new_files(df, manifest)
-
-
 def table_exists(spark, path: str) -> bool:
     try:
         spark.read.parquet(path)
@@ -37,19 +39,21 @@ def cached(spark, path: str, build, refresh: bool = False) -> DataFrame:
 
 
 def append_unread(df: DataFrame, store: str, manifest: str) -> DataFrame:
-    """Append the rows of unread files to a store, then record those files.
+    """Append the rows of unread files to a store, each file once, and return the store's rows.
 
-    The file list is recorded after the rows: a failed run is repeated, never skipped.  For
-    exactly-once ingest use the streaming twin.
+    A batch has a folder of its own; it counts once the manifest names it together with its files, in
+    one write.  What a failed run leaves behind is never read, and runs do not share a folder.
     """
     spark = df.sparkSession
-    fresh = unread(df, spark.read.parquet(manifest)) if table_exists(spark, manifest) else df
-    batch = f"{store}/_staged"
-    fresh.write.mode("overwrite").parquet(batch)
-    staged = spark.read.schema(df.schema).parquet(batch)
-    staged.write.mode("append").parquet(f"{store}/rows")
-    staged.select(PART).distinct().write.mode("append").parquet(manifest)
-    return spark.read.schema(df.schema).parquet(f"{store}/rows")
+    fresh = new_files(df, spark.read.schema(MANIFEST).parquet(manifest)) if table_exists(spark, manifest) else df
+    batch = uuid.uuid4().hex
+    folder = f"{store}/{BATCH}={batch}"
+    fresh.write.parquet(folder)
+    files = spark.read.schema(df.schema).parquet(folder).select(PART).distinct()
+    files.withColumn(BATCH, F.lit(batch)).select(PART, BATCH).write.mode("append").parquet(manifest)
+    done = spark.read.schema(MANIFEST).parquet(manifest).select(BATCH).distinct()
+    rows = spark.read.schema(copy.deepcopy(df.schema).add(BATCH, "string")).parquet(store)
+    return rows.join(small_side(done), BATCH, "left_semi").drop(BATCH)
 
 
 def write_sales(df: DataFrame, path: str, unit: str = "day", mode: str = "overwrite") -> None:
@@ -64,7 +68,7 @@ def write_sales(df: DataFrame, path: str, unit: str = "day", mode: str = "overwr
     ).parquet(path)
 
 
-def write_report(df: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Small report table with a header."""
-    writer = df.repartition(1).write.mode("overwrite")
+def write_report(df: DataFrame, path: str, fmt: str = "csv", rows_per_file: int = 1_000_000) -> None:
+    """Report table with a header: as few files as its size asks for, each of a bounded number of rows."""
+    writer = df.hint("rebalance").write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
     writer.option("header", True).csv(path) if fmt == "csv" else writer.parquet(path)

@@ -18,6 +18,7 @@ from ticketlake.sources.readers import text_schema
 
 # Event time of a stream; watermarks need a zoned timestamp.
 EVENT_TIME = "event_time"
+VERSION = "version"
 
 
 def order_files(spark: SparkSession, folder: str, names: list[str], per_batch: int = 1000) -> DataFrame:
@@ -57,10 +58,15 @@ def run_available(df: DataFrame, out: str, checkpoint: str, mode: str = "append"
 
 
 def run_complete(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Like :func:`run_available`, but each batch replaces the whole aggregate table."""
+    """Like :func:`run_available`, but each batch writes the whole aggregate table as a new version.
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(out)
+    A reader of :func:`latest` sees the version before until the new one is written.
+    """
+
+    def replace(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/{VERSION}={number}")
+        named = batch.sparkSession.range(1).select(F.lit(number).cast("bigint").alias(VERSION))
+        named.write.mode("append").parquet(f"{out}/written")
 
     query = (
         df.writeStream.outputMode("complete")
@@ -73,6 +79,12 @@ def run_complete(df: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     return query
 
 
+def latest(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """The last version that :func:`run_complete` has written."""
+    number = spark.read.parquet(f"{out}/written").agg(F.max(VERSION)).first()[0]
+    return spark.read.schema(schema).parquet(f"{out}/{VERSION}={number}")
+
+
 def ingest(
     spark: SparkSession,
     folder: str,
@@ -130,4 +142,4 @@ def finished(spark: SparkSession, df: DataFrame, name: str, complete: bool = Fal
     """Run a flow over what is available and read its table back."""
     out, checkpoint = shared_dir(spark, name), shared_dir(spark, f"{name}-checkpoint")
     (run_complete if complete else run_available)(df, out, checkpoint)
-    return spark.read.schema(df.schema).parquet(out)
+    return latest(spark, out, df.schema) if complete else spark.read.schema(df.schema).parquet(out)
