@@ -82,6 +82,25 @@ def slices(texts: pa.Array, limit: int | None = None) -> Iterator[tuple[int, int
         start = end
 
 
+def byte_sums(data: np.ndarray) -> np.ndarray:
+    """Sums of byte values weighted by position: entry i is over the first i bytes."""
+    out = np.empty(len(data) + 1, np.uint64)
+    out[0] = 0
+    np.multiply(_BYTE[data], _power(_BASE, len(data))[: len(data)], out=out[1:])
+    return np.add.accumulate(out, out=out)
+
+
+def moved(values: np.ndarray, places: np.ndarray, back: bool = False) -> np.ndarray:
+    """Weighted sums as if their bytes began ``places`` further on (or back)."""
+    most = int(places.max()) if len(places) else 0
+    return values * _power(_UNDO if back else _BASE, most)[places]
+
+
+def finished(sums: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes from the weighted sums of spans that begin at 0, and their sizes."""
+    return mix(sums ^ (sizes.astype(np.uint64) << np.uint64(48)))
+
+
 class Spans:
     """Positions of words or lines in a buffer, and hashes of spans."""
 
@@ -116,14 +135,8 @@ class Spans:
         if len(starts) == 0:
             return np.zeros(0, np.uint64)
         if self._prefix is None:
-            n = len(self.data)
-            prefix = np.empty(n + 1, np.uint64)
-            prefix[0] = 0
-            np.multiply(_BYTE[self.data], _power(_BASE, n)[:n], out=prefix[1:])
-            np.add.accumulate(prefix, out=prefix)
-            self._prefix = prefix
-        got = (self._prefix[ends] - self._prefix[starts]) * _power(_UNDO, len(self.data))[starts]
-        return mix(got ^ ((ends - starts).astype(np.uint64) << np.uint64(48)))
+            self._prefix = byte_sums(self.data)
+        return finished(moved(self._prefix[ends] - self._prefix[starts], starts, back=True), ends - starts)
 
 
 def windows(hashes: np.ndarray, ranges: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
