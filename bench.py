@@ -31,8 +31,10 @@ HEADLINE = [
     "patch_overlay",
     "prefix_attribution",
     "direct_sales",
+    "market_sales",
     "distributor_sales",
     "channel_standard_orders",
+    "channel_block_report",
     "channel_section_report",
     "weekly_content_metrics",
     "weekly_cross_platform_report",

@@ -91,3 +91,25 @@ def test_fill_survives_one_hot_file(spark):
     assert "_chunk" in plan
     wrong = got.filter("src_file = 'hot' and v <> row_idx - row_idx % 1000").count()
     assert wrong == 0 and got.filter("src_file = 'hot'").count() == 199_990
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 1000])
+def test_scan_does_all_in_one_pass(spark, chunk):
+    rows, df = make(spark, 9)
+    found = position.scan(
+        df,
+        fills={"v": F.col("v"), "at": F.when(F.col("m"), F.col("row_idx"))},
+        above={"before": F.when(F.col("m"), F.col("row_idx"))},
+        sums={"n": F.col("m").cast("long"), "i": F.col("row_idx")},
+        chunk_rows=chunk,
+    )
+    got = {(r["src_file"], r["row_idx"]): r for r in found.collect()}
+    assert len(got) == len(rows)
+    for part in by_file(rows).values():
+        v = at = None
+        n = i = 0
+        for name, idx, own, m in part:
+            before, at = at, idx if m else at
+            v, n, i = own if own is not None else v, n + m, i + idx
+            r = got[name, idx]
+            assert (r["v"], r["at"], r["before"], r["n"], r["i"]) == (v, at, before, n, i)

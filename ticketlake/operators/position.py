@@ -28,31 +28,67 @@ def _inside(part: list[str], order: str) -> W:
     return W.partitionBy(*part, _CHUNK).orderBy(order)
 
 
-def locf(
+def scan(
     df: DataFrame,
-    cols: list[str],
+    fills: dict[str, Column] | None = None,
+    above: dict[str, Column] | None = None,
+    sums: dict[str, Column] | None = None,
     part: str | list[str] = PART,
     order: str = ORDER,
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Fill each column down from the last non-NULL value above it in the same file."""
+    """Several fills and running totals in file order, with one shuffle and one summary of the chunks.
+
+    Each output column is the last non-NULL value of an expression up to the row (``fills``) or before
+    it (``above``), or an expression's total up to the row (``sums``).
+    """
     part = [part] if isinstance(part, str) else part
-    chunked = df.withColumn(_CHUNK, _chunk(order, chunk_rows))
-    newest = [
-        F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(f"_c_{c}") for c in cols
-    ]
+    fills, above, sums = fills or {}, above or {}, sums or {}
+    last = {**fills, **above}
+    given = {f"_v_{k}": v for k, v in {**last, **sums}.items()}
+    chunked = df.withColumns({_CHUNK: _chunk(order, chunk_rows), **given})
+
+    def value(k: str) -> Column:
+        return F.col(f"`_v_{k}`")
+
+    newest = [F.max_by(value(k), F.when(value(k).isNotNull(), F.col(order))).alias(f"_c_{k}") for k in last]
+    totals = [F.sum(value(k)).alias(f"_c_{k}") for k in sums]
     carried = (
         chunked.groupBy(*part, _CHUNK)
-        .agg(*newest)
-        .withColumns({f"_c_{c}": F.last(f"_c_{c}", True).over(_before(part)) for c in cols})
-    )
-    run = _inside(part, order).rowsBetween(W.unboundedPreceding, 0)
-    filled = chunked.withColumns({c: F.last(c, True).over(run) for c in cols})
-    return (
-        filled.join(carried, [*part, _CHUNK], "left")
-        .withColumns({c: F.coalesce(c, f"_c_{c}") for c in cols})
-        .select(df.columns)
+        .agg(*newest, *totals)
+        .withColumns(
+            {
+                **{f"_c_{k}": F.last(f"`_c_{k}`", True).over(_before(part)) for k in last},
+                **{f"_c_{k}": F.coalesce(F.sum(f"`_c_{k}`").over(_before(part)), F.lit(0)) for k in sums},
+            }
+        )
     )
+    to_here = _inside(part, order).rowsBetween(W.unboundedPreceding, 0)
+    to_above = _inside(part, order).rowsBetween(W.unboundedPreceding, -1)
+    inside = {
+        **{f"_v_{k}": F.last(value(k), True).over(to_here) for k in fills},
+        **{f"_v_{k}": F.last(value(k), True).over(to_above) for k in above},
+        **{f"_v_{k}": F.sum(value(k)).over(to_here) for k in sums},
+    }
+    # A summary has one row per chunk.
+    joined = chunked.withColumns(inside).join(carried, [*part, _CHUNK], "left")
+    out = {
+        **{k: F.coalesce(value(k), F.col(f"`_c_{k}`")) for k in last},
+        **{k: value(k) + F.col(f"`_c_{k}`") for k in sums},
+    }
+    names = [*df.columns, *[k for k in out if k not in df.columns]]
+    return joined.withColumns(out).select([F.col(f"`{c}`") for c in names])
+
+
+def locf(
+    df: DataFrame,
+    cols: list[str],
+    part: str | list[str] = PART,
+    order: str = ORDER,
+    chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Fill each column down from the last non-NULL value above it in the same file."""
+    return scan(df, fills={c: F.col(c) for c in cols}, part=part, order=order, chunk_rows=chunk_rows)
 
 
 def running_sum(
@@ -64,20 +100,7 @@ def running_sum(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Inclusive running total of a numeric expression in file order."""
-    part = [part] if isinstance(part, str) else part
-    chunked = df.withColumns({_CHUNK: _chunk(order, chunk_rows), out: value})
-    carried = (
-        chunked.groupBy(*part, _CHUNK)
-        .agg(F.sum(out).alias("_c"))
-        .withColumn("_c", F.coalesce(F.sum("_c").over(_before(part)), F.lit(0)))
-    )
-    run = _inside(part, order).rowsBetween(W.unboundedPreceding, 0)
-    return (
-        chunked.withColumn(out, F.sum(out).over(run))
-        .join(carried, [*part, _CHUNK])
-        .withColumn(out, F.col(out) + F.col("_c"))
-        .select(*df.columns, out)
-    )
+    return scan(df, sums={out: value}, part=part, order=order, chunk_rows=chunk_rows)
 
 
 def shift(

@@ -25,6 +25,7 @@ from ticketlake.operators import position, reshape
 from ticketlake.operators.position import ORDER, PART
 from ticketlake.operators.rules import RuleSet
 from ticketlake.schema import conform
+from ticketlake.session import written
 from ticketlake.sources import readers
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -91,31 +92,41 @@ def parse_block_report(
     cells = readers.by_layout(grid, [(BLOCK_OLD_FILES, BLOCK_LAYOUT_OLD)], BLOCK_LAYOUT)
     scene = F.col("scene").isNotNull() & (F.col("scene") != show)
 
-    body = cells.filter(F.col("kind").isNotNull() & F.col("1280").isNotNull()).withColumn(
-        "policy",
-        F.when((F.col("kind") == KIND_COUNT) & F.col("policy").isNull(), TOTAL).otherwise(
-            F.col("policy")
-        ),
-    )
-    body = position.densify(body.drop("scene", "channel"), chunk_rows=chunk_rows)
-    body = position.block_number(body, F.col("policy") == TOTAL, chunk_rows=chunk_rows)
-    body = position.locf(body, ["policy"], chunk_rows=chunk_rows)
-
-    sessions = position.numbered(cells, scene, chunk_rows=chunk_rows).select(
-        PART, "block", zh_minute("scene").alias("session_ts")
-    )
     # The channel label stands two rows under the session label; a blank one means no channel.
     labels = position.shift(
-        cells.withColumn("_scene", scene), {"_scene": "_under"}, -2, chunk_rows=chunk_rows
+        cells.withColumn("_scene", F.coalesce(scene, F.lit(False))), {"_scene": "_under"}, -2, chunk_rows=chunk_rows
     ).withColumn(
         "channel",
         F.when(F.col("_under") & F.col("channel").isNull(), NO_CHANNEL).otherwise(F.col("channel")),
     )
-    channels = position.numbered(
-        labels,
-        F.col("channel").isNotNull() & ~F.col("channel").isin(show, venue),
+    is_body = F.col("kind").isNotNull() & F.col("1280").isNotNull()
+    policy = F.when((F.col("kind") == KIND_COUNT) & F.col("policy").isNull(), TOTAL).otherwise(F.col("policy"))
+    ended = F.when(is_body, F.coalesce(policy == TOTAL, F.lit(False)).cast("long"))
+    is_channel = F.col("channel").isNotNull() & ~F.col("channel").isin(show, venue)
+    marked = labels.withColumns({"_body": is_body, "_channel": F.coalesce(is_channel, F.lit(False)), "_end": ended})
+    # One pass: the policy of each body row, how many sessions and channels there were, and the ends
+    # of blocks above the previous body row.
+    scanned = position.scan(
+        marked,
+        fills={"policy": F.when(is_body, policy)},
+        above={"_last_end": F.col("_end")},
+        sums={
+            "_sessions": F.col("_scene").cast("long"),
+            "_channels": F.col("_channel").cast("long"),
+            "_ends": F.coalesce("_end", F.lit(0)),
+        },
         chunk_rows=chunk_rows,
-    ).select(PART, "block", "channel")
+    ).filter(F.col("_body") | F.col("_scene") | F.col("_channel"))
+    # Three readers: written once, so that the reports are not parsed again for each.
+    scanned = written(scanned, "block-rows")
+    body = scanned.filter("_body").withColumn(
+        "block", F.col("_ends") - F.col("_end") - F.coalesce("_last_end", F.lit(0)) + 1
+    )
+    sessions = scanned.filter("_scene").select(
+        PART, F.col("_sessions").alias("block"), zh_minute("scene").alias("session_ts")
+    )
+    channels = scanned.filter("_channel").select(PART, F.col("_channels").alias("block"), "channel")
+    body = body.drop("scene", "channel")
 
     tagged = (
         body.join(sessions, [PART, "block"], "left")

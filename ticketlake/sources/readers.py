@@ -108,10 +108,37 @@ def read_lines(spark: SparkSession, paths: Paths, glob: str | None = None) -> Da
 
 
 def read_grid(
-    spark: SparkSession, paths: Paths, width: int, sep: str = ",", glob: str | None = None
+    spark: SparkSession,
+    paths: Paths,
+    width: int,
+    sep: str = ",",
+    glob: str | None = None,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
-    """A headerless report as ``(src_file, row_idx, c1..cn)``; empty cells are NULL."""
-    return to_grid(read_lines(spark, paths, glob), width, sep)
+    """A headerless report as ``(src_file, row_idx, c1..cn)``; empty cells are NULL.
+
+    With ``quoted_breaks`` a quoted cell may hold line breaks.  Then only the start of a file tells
+    where its rows begin, so each file is read by one task; other reports are split.
+    """
+    if not quoted_breaks:
+        return to_grid(read_lines(spark, paths, glob), width, sep)
+    names = [f"c{i}" for i in range(1, width + 1)]
+    options = {"multiLine": True, "sep": sep, "escape": '"', "recursiveFileLookup": True, "mode": "PERMISSIVE"}
+    if glob:
+        options["pathGlobFilter"] = glob
+    rows = (
+        spark.read.schema(text_schema(names))
+        .options(**options)
+        .csv(paths)
+        .select(file_path().alias(PART), F.monotonically_increasing_id().alias("_id"), *names)
+    )
+    # One row per file, and the ids of a file rise by one.
+    first = rows.groupBy(PART).agg(F.min("_id").alias("_first"))
+    return attach_to_source(rows, first).select(
+        PART,
+        (F.col("_id") - F.col("_first")).alias(ORDER),
+        *[F.nullif(F.trim(n), F.lit("")).alias(n) for n in names],
+    )
 
 
 def to_grid(lines: DataFrame, width: int, sep: str = ",") -> DataFrame:
