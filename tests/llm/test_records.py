@@ -101,6 +101,27 @@ def test_templates_go_prose_stays(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_boilerplate_that_rotates_over_a_large_host(spark):
+    def around(k):
+        return f"<p>Paragraph {k} of the site</p><h2>Heading {k}</h2>", f"<address>Office {k}</address><div class=q>Box <b>{k}</b></div>"
+
+    def page(i, text):
+        top, end = around(i % 30)  # each is on 3 percent of the pages
+        return (i, f"https://hot.example/{i}", f"<body>{top}{text}{end}</body>")
+
+    rows = [page(i, f"<p>Own {i} with <b>words</b></p>") for i in range(180)]
+    rows += [page(i, "<p>A page with copies</p><p>whose text stays</p>") for i in range(180, 240)]
+    rows += [(i, f"https://hot.example/{i}", "<body><p>The same</p><div>all over</div></body>") for i in range(240, 260)]
+    rows += [(i, f"https://hot.example/{i}", f"<article><p>Own {i}</p>{around(i % 30)[1]}</article>") for i in range(260, 440)]
+    rows += [(i, f"https://hot.example/{i}", f"<body><div>Bare</div>text {i}</body>") for i in range(440, 450)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)
+    got = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert len(got) == len(rows)
+    for i, text in got.items():
+        want = f"Own {i} with words" if i < 180 else "A page with copies\n\nwhose text stays" if i < 240 else "The same\n\nall over"
+        assert text == (want if i < 260 else f"Own {i}" if i < 440 else f"text {i}")
+
+
 @needs_data
 def test_given_pages(spark):
     given = {r.page_id: r.html for r in table(spark, SF, "pages").collect()}

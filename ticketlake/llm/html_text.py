@@ -1,20 +1,25 @@
 """Main text of web pages by removal of site templates.
 
-Every page is read into a tree.  The subtrees of its containers are hashed, and Spark counts for each
-host on how many pages a hash occurs.  A subtree that recurs on at least ``MIN_PAGES`` pages and
-``MIN_SHARE`` of the host's pages is part of the site's template and is cut out; so are elements that
-are no main text by their kind or by the words of their class, id or role.  Of what is left, the
-article (else the main element, else the body) gives the blocks of text.
+Every page is read into a tree.  The subtrees of its elements are hashed, and Spark counts for each
+host the pages on which a hash occurs.  A subtree that recurs on at least ``MIN_PAGES`` pages with
+different contents of their own is part of the site's template and is cut out, however large the host is;
+so are elements that are no main text by their kind or by the words of their class, id or role.  Of what
+is left, the article (else the main element, else the body) gives the blocks of text.
+
+A page's own content is its main text without the subtrees that ``MIN_PAGES`` rows of the host have.  So
+copies of a page count once, also if the boilerplate around them rotates, and keep their text.
 
 Prose is never cut for recurring: paragraphs, headings, list items, quotes, tables and preformatted text inside
-an article stay even if many pages share them, and an article or main element itself stays.
+an article stay even if many pages share them, and an article or main element itself stays.  Outside of
+articles all elements with text can be cut, but an inline element only if no text stands beside it and it is not
+inside prose (else it is words of a sentence), and table cells only with their row.
 
 The tree is built by a small tolerant reader: it knows void and raw-text elements, closes what an
 opening tag ends implicitly (paragraphs, list items, table cells, options), and ignores end tags without
 a start.
 
 Defined results: null or empty html has empty text; a page whose url has no host belongs to the host
-``""``; rows that repeat a page count once each, return each, and share the templates; an empty table
+``""``; rows that repeat a page count once, return each, and share the templates; an empty table
 gives an empty result; other columns are ignored.
 """
 
@@ -23,6 +28,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -32,8 +38,8 @@ from pyspark.sql import functions as F
 from .common import kept
 from .words import text_array
 
+#: Pages of a host, with different contents of their own, that an element of its template is on.
 MIN_PAGES = 5
-MIN_SHARE = 0.1
 
 # Kinds of elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,7 +55,8 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
-CONTAINERS = frozenset("div section ul ol dl header footer nav aside form table figure details center menu span".split())
+#: Elements that are never cut for recurring: the frame of a page, and table cells.
+FIXED = frozenset("#root html body article main td th".split())
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre table td th figcaption".split())
 #: What an opening tag closes, up to the nearest element that holds it.
 CLOSES = {
@@ -160,49 +167,86 @@ def walk(root: Node) -> Iterator[Node]:
         stack.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
 
-def hashes(root: Node) -> dict[int, Node | list[Node]]:
-    """Hash of each container's subtree (tags and text) to the nodes that have it."""
+@dataclass
+class Hashed:
+    """A page's elements that can be cut, by the hashes of their subtrees (tags and text)."""
+
+    found: dict[int, list[Node]]
+    shown: set[int]  # hashes of those that are part of the main text
+    content: int  # all of the main text: xor of these hashes and that of the text outside of them
+
+
+def hashes(root: Node) -> Hashed:
     order = list(walk(root))
+    frame = {id(up) for n in order if n.tag in ("article", "main") for up in uppers(n)}
+    tops = {id(n) for n in main_tops(root)}
     own: dict[int, int] = {}
-    found: dict[int, list[Node]] = {}
+    texts: set[int] = set()  # nodes with text
     for node in reversed(order):
-        parts = [node.tag]
+        parts, full = [node.tag], False
         for child in node.children:
             if isinstance(child, Node):
                 parts.append(str(own[id(child)]))
+                full = full or id(child) in texts
             elif not child.isspace():
                 parts.append(" ".join(child.split()))
-        own[id(node)] = h = xxhash.xxh3_64_intdigest("\x1f".join(parts)) - (1 << 63)
-        if node.tag in CONTAINERS and node.children:
-            found.setdefault(h, []).append(node)
-    return found
-
-
-def inside_prose(node: Node) -> bool:
-    """Whether a node is part of the prose of an article or main element."""
-    up, prose = node, False
-    while up is not None:
-        prose = prose or up.tag in PROSE
-        if up.tag in ("article", "main"):
-            return prose
-        up = up.parent
-    return False
-
-
-def holds_article(node: Node) -> bool:
-    return any(n.tag in ("article", "main") for n in walk(node))
+                full = True
+        own[id(node)] = signed("\x1f".join(parts))
+        if full:
+            texts.add(id(node))
+    found: dict[int, list[Node]] = {}
+    shown: set[int] = set()
+    rest: list[str] = []  # main text that no element that can be cut holds
+    # Of each node: inside an article or main element, inside prose, part of the main text, inside what can be cut.
+    flags: dict[int, tuple[bool, bool, bool, bool]] = {}
+    for node in order:
+        article, prose, text, held = flags[id(node.parent)] if node.parent is not None else (False,) * 4
+        if id(node) in tops:
+            text = True
+        elif text:
+            text = not skipped(node, root)
+        if node.tag in ("article", "main"):
+            article, prose = True, False
+        around, prose = prose, prose or node.tag in PROSE
+        if (
+            id(node) in texts
+            and not (article and prose)
+            and node.tag not in FIXED
+            and node.tag not in DROPPED
+            and id(node) not in frame
+            and (node.tag in BLOCKS or (not around and stands_alone(node)))
+        ):
+            found.setdefault(own[id(node)], []).append(node)
+            held = True
+            if text:
+                shown.add(own[id(node)])
+        if text and not held:
+            rest.extend(" ".join(c.split()) for c in node.children if isinstance(c, str) and not c.isspace())
+        flags[id(node)] = article, prose, text, held
+    content = signed("\x1f".join(rest))
+    for h in shown:
+        content ^= h
+    return Hashed(found, shown, content)
+
+
+def signed(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) - (1 << 63)
+
+
+def stands_alone(node: Node) -> bool:
+    """Whether no text stands beside an inline element: it is not part of a sentence."""
+    up = node.parent
+    return (up.tag in BLOCKS or up.tag == "#root") and all(isinstance(c, Node) or c.isspace() for c in up.children)
 
 
 def cut_templates(root: Node, templates: set[int]) -> None:
     """Take out the subtrees whose hashes are given."""
     if not templates:
         return
-    for h, nodes in hashes(root).items():
+    for h, nodes in hashes(root).found.items():
         if h in templates:
             for node in nodes:
-                if node.parent is not None and not inside_prose(node) and not holds_article(node):
-                    node.parent.children.remove(node)
-                    node.parent = None
+                node.parent.children.remove(node)
 
 
 def skipped(node: Node, top: Node) -> bool:
@@ -220,10 +264,14 @@ def skipped(node: Node, top: Node) -> bool:
     return node.marked and node.tag not in ("article", "main", "body", "html")
 
 
-def main_blocks(root: Node) -> list[str]:
+def main_tops(root: Node) -> list[Node]:
     articles = [n for n in walk(root) if n.tag == "article" and not inside_dropped(n)]
     outer = [n for n in articles if not any(up is not n and up.tag == "article" for up in uppers(n))]
-    tops = outer or [n for n in walk(root) if n.tag == "main"][:1] or [n for n in walk(root) if n.tag == "body"][:1] or [root]
+    return outer or [n for n in walk(root) if n.tag == "main"][:1] or [n for n in walk(root) if n.tag == "body"][:1] or [root]
+
+
+def main_blocks(root: Node) -> list[str]:
+    tops = main_tops(root)
     blocks: list[str] = []
     text: list[str] = []
 
@@ -288,39 +336,70 @@ def host(pages: DataFrame) -> DataFrame:
 
 
 def page_hashes(pages: DataFrame) -> DataFrame:
-    """(page_id, host, hash): the different container subtrees of each page."""
+    """(page_id, host, hash, shown, content): the different elements of each page that can be cut.
+
+    ``shown``: the element is part of the page's main text; ``content``: the page's main text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            where, found = [], []
+            where, found, shown, content = [], [], [], []
             for i, page in enumerate(text_array(batch.column("html"))):
                 got = hashes(parse(page.as_py()))
-                found.extend(got)
-                where.extend([i] * len(got))
+                found.extend(got.found)
+                shown.extend(h in got.shown for h in got.found)
+                content.extend([got.content] * len(got.found))
+                where.extend([i] * len(got.found))
             rows = pa.array(where, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("page_id").take(rows), batch.column("host").take(rows), pa.array(found, pa.int64())],
-                names=["page_id", "host", "hash"],
-            )
+                [
+                    batch.column("page_id").take(rows), batch.column("host").take(rows), pa.array(found, pa.int64()),
+                    pa.array(shown, pa.bool_()), pa.array(content, pa.int64()),
+                ],
+                names=["page_id", "host", "hash", "shown", "content"],
+            )
 
-    return pages.select("page_id", "host", "html").mapInArrow(run, "page_id bigint, host string, hash bigint")
+    schema = "page_id bigint, host string, hash bigint, shown boolean, content bigint"
+    return pages.select("page_id", "host", "html").mapInArrow(run, schema)
+
+
+def repeats(found: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(page_id, host, own, elements): elements that ``min_pages`` rows of the host have, and a hash of the rest.
+
+    Elements that no page shows in its main text are left out: cutting them changes nothing.  Counts combine before
+    the shuffle.
+    """
+    counts = found.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"), F.bool_or("shown").alias("ever"))
+    often = counts.filter(F.col("ever") & (F.col("n") >= min_pages)).select("host", "hash")
+    # A page has one row here, with at most as many hashes as it has elements.
+    return (
+        found.join(often, ["host", "hash"])
+        .groupBy("page_id", "host", "content")
+        .agg(F.collect_set(F.struct("hash", "shown")).alias("elements"))
+        .withColumn("own", F.expr("aggregate(elements, content, (a, e) -> if(e.shown, a ^ e.hash, a))"))
+        .select("page_id", "host", "own", "elements")
+    )
 
 
-def templates(found: DataFrame, hosts: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, hash) of subtrees that recur on the host.  Counts combine before the shuffle."""
-    often = found.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
-    sizes = hosts.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    return often.join(sizes, "host").filter(F.col("n") >= F.col("pages") * min_share).select("host", "hash")
+def templates(repeated: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, hash) of elements that are on ``min_pages`` pages with different contents of their own."""
+    pages = repeated.select("host", "own", F.explode("elements.hash").alias("hash")).distinct()
+    often = pages.groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
+    return often.filter(F.col("n") >= min_pages).select("host", "hash")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every page."""
     named = host(pages)
     found = kept(page_hashes(named), "page-hashes")
-    recurring = kept(templates(found, named.select("host")), "templates")
-    # Only pages that hold a template get a row here, with at most as many hashes as they have containers.
+    repeated = kept(repeats(found), "page-repeats")
+    recurring = kept(templates(repeated), "templates")
+    # Only pages that show a template get a row here, with at most as many hashes as they have elements.
     mine = (
-        found.join(recurring, ["host", "hash"])
+        repeated.select("page_id", "host", F.explode("elements").alias("e"))
+        .filter("e.shown")
+        .select("page_id", "host", F.col("e.hash").alias("hash"))
+        .join(recurring, ["host", "hash"])
         .groupBy("page_id", "host")
         .agg(F.collect_set("hash").alias("cut"))
     )
