@@ -261,3 +261,31 @@ def test_base_on_odd_rows(spark, odd, nothing, monkeypatch):
         ) == base_of(rows)
         assert all(np.isfinite(r.score) and r.score < 0 for r in got)
     assert lm_score.score(nothing, path).count() == 0
+
+
+def test_pairs_beyond_the_table_count_the_same(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "STEPS", 5)
+    rng = np.random.default_rng(7)
+    words = ["tree", "house", "green", "walks", "under", "small", "river", "old"]
+    rows = [(i, " ".join(rng.choice(words, rng.integers(0, 40)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    path = vocabulary("byte_bpe_50k.json")
+    want = {r.doc_id: r.score for r in lm_score.score(docs, path).collect()}
+    for pairs, bits in ((0, (20, 18)), (20, (20, 18)), (lm_score.PAIRS, (2, 1))):
+        monkeypatch.setattr(lm_score, "PAIRS", pairs)
+        monkeypatch.setattr(lm_score, "SLOT_BITS", bits)
+        got = {r.doc_id: r.score for r in lm_score.score(docs, path).collect()}
+        assert got.keys() == want.keys()
+        assert all(np.isclose(got[i], want[i], atol=1e-3) for i in want)
+
+
+def test_attention_learns_from_anywhere_in_a_text(spark, monkeypatch):
+    taken = []
+    monkeypatch.setattr(lm_score, "STEPS", 2)
+    monkeypatch.setattr(lm_score, "SAMPLE_PER_TEXT", 20)
+    own = lm_score.train
+    monkeypatch.setattr(lm_score, "train", lambda texts, *rest: taken.extend(texts) or own(texts, *rest))
+    rows = [(i, "same header here " * 20 + f"number {i} of the rest " * 60) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    lm_score.score(docs, vocabulary("byte_bpe_50k.json"))
+    assert all(len(t) == 20 for t in taken) and len({t.tobytes() for t in taken}) > len(taken) // 2
