@@ -117,6 +117,21 @@ def test_language_on_odd_rows(odd, nothing):
     assert kept.count() == odd.count() - 4
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    spell = [["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(8)] for _ in range(80)]
+    rows = [(f"l{k:02}", " ".join(rng.choice(spell[k], 30))) for k in range(80) for _ in range(8)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id bigint, lang string, text string")
+    model = language.fit(language.sample(docs))
+    assert len(model.names) == 80
+    assert all(r.lang == r.lang_pred for r in language.identify(docs, model).collect())
+    texts = pa.array([t for _, t in rows[::7]], pa.large_string())
+    kept = language.phrases(model, texts)
+    model.laid_out.clear()
+    monkeypatch.setattr(language, "TABLE_BYTES", 0)
+    assert (language.phrases(model, texts) == kept).all() and not model.laid_out
+
+
 @needs_data
 def test_languages_are_told(spark):
     rows = REGISTRY["op8_language"].run(spark, SF).join(table(spark, SF, "documents"), "doc_id").collect()

@@ -5,8 +5,9 @@ parsed with each automaton: a phrase is the longest run of characters that occur
 language's sample, and the next phrase begins where it ended.  The language whose sample needs the
 fewest phrases per letter wins: the number of phrases estimates the cross entropy.
 
-Parsing needs only the automaton's transitions.  They stand in one table per language with the restart
-worked in, so one gather moves thousands of texts one byte on.  Texts are cut into blocks of
+Parsing needs only the automaton's transitions.  They are laid out in one table per language with the restart
+worked in, so one gather moves thousands of texts one byte on.  Every learned language has an automaton; a
+worker keeps ``TABLE_BYTES`` of tables and lays out the others one at a time from their list of transitions.  Texts are cut into blocks of
 ``BLOCK`` bytes, a phrase ends with its block, and each block is one lane; no text is cut short.
 
 Letters are lower-cased; every byte that no letter of the samples uses counts as a break.
@@ -19,7 +20,7 @@ score are replaced.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -33,12 +34,13 @@ from .words import buffers, slices, text_array
 #: Bytes of labelled text per language that an automaton is fitted on, and how much of one text.
 SAMPLE_BYTES = 24_000
 SAMPLE_PER_TEXT = 1_500
-#: Labelled texts per language that the sample is taken from, and the most languages.
+#: Labelled texts per language that the sample is taken from.
 SAMPLE_TEXTS = 200
-MAX_LANGUAGES = 64
 BLOCK = 1024
 #: Bytes of text that move on together.
 LANE_BYTES = 1 << 23
+#: Bytes of laid out tables that a worker keeps.
+TABLE_BYTES = 1 << 27
 _MISS = np.int32(1 << 30)
 
 
@@ -56,12 +58,29 @@ def break_bytes() -> np.ndarray:
 
 @dataclass
 class Automata:
-    """Transition tables of all languages over shared byte classes."""
+    """Transitions of all languages over shared byte classes."""
 
     names: list[str]
     classes: np.ndarray
     size: int
-    tables: list[np.ndarray]
+    #: Per language: its number of states, and where in its table each transition stands and leads to.
+    moves: list[tuple[int, np.ndarray, np.ndarray]]
+    laid_out: dict[int, np.ndarray] = field(default_factory=dict)
+
+    def table(self, k: int) -> np.ndarray:
+        """The flat transition table of a language; its last row is the start: whatever comes begins a phrase."""
+        if k in self.laid_out:
+            return self.laid_out[k]
+        states, at, to = self.moves[k]
+        # A byte that the sample lacks is a phrase by itself, so it leads to the start.
+        again = np.full(self.size, states * self.size, np.int32)
+        first = at < self.size
+        again[at[first]] = to[first]
+        flat = np.tile(again + _MISS, states + 1)
+        flat[at] = to
+        if sum(t.nbytes for t in self.laid_out.values()) + flat.nbytes <= TABLE_BYTES:
+            self.laid_out[k] = flat
+        return flat
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -103,21 +122,14 @@ def fit(samples: dict[str, str]) -> Automata:
     for i, byte in enumerate(used):
         classes[byte] = i + 1
     size = len(used) + 1
-    tables = []
+    found = []
     for n in names:
         symbols = classes[np.frombuffer(raw[n], np.uint8)].tolist()
         moves = suffix_automaton(symbols)
-        # The last row is the start: whatever comes begins a phrase.  A byte that the sample lacks is a
-        # phrase by itself, so it leads there.
-        start = len(moves)
-        table = np.full((start + 1, size), -1, np.int64)
-        for state, row in enumerate(moves):
-            for s, to in row.items():
-                table[state, s] = to
-        again = np.where(table[0] >= 0, table[0], start) * size + int(_MISS)
-        flat = np.where(table >= 0, table * size, again[None, :])
-        tables.append(flat.astype(np.int32).ravel())
-    return Automata(names, classes, size, tables)
+        at = [state * size + s for state, row in enumerate(moves) for s in row]
+        to = [target * size for row in moves for target in row.values()]
+        found.append((len(moves), np.array(at, np.int32), np.array(to, np.int32)))
+    return Automata(names, classes, size, found)
 
 
 def phrases(model: Automata, texts: pa.Array) -> np.ndarray:
@@ -138,7 +150,8 @@ def phrases(model: Automata, texts: pa.Array) -> np.ndarray:
         first, length, owner = first[order], length[order], owner[order]
         live = np.searchsorted(-length, -np.arange(BLOCK), "left")
         symbols = model.classes[data]
-        for k, table in enumerate(model.tables):
+        for k in range(len(model.names)):
+            table = model.table(k)
             state = np.full(len(owner), len(table) - model.size, np.int32)
             count = np.zeros(len(owner), np.int64)
             for j in range(int(length[0])):
@@ -166,11 +179,9 @@ def decide(model: Automata, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 def sample(docs: DataFrame) -> dict[str, str]:
     """A bounded sample of labelled text of each language, from the learning folds."""
     known = docs.filter(F.col("lang").isNotNull() & (fold("doc_id", 5) != 0))
-    names = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    names = [row["lang"] for row in names.collect()]
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "text")
     rows = (
-        known.filter(F.col("lang").isin(names) & F.col("text").rlike(r"\p{L}"))
+        known.filter(F.col("text").rlike(r"\p{L}"))
         .select("lang", "doc_id", F.substring("text", 1, SAMPLE_PER_TEXT).alias("text"))
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= SAMPLE_TEXTS)
@@ -184,11 +195,11 @@ def sample(docs: DataFrame) -> dict[str, str]:
 
 def identify(docs: DataFrame, model: Automata | None = None, mark: str = "") -> DataFrame:
     """``docs`` with lang_pred and score, their names preceded by ``mark``."""
-    model = model or fit(sample(docs))
+    shared = docs.sparkSession.sparkContext.broadcast(model or fit(sample(docs)))
 
     def work():
         def each(batch: pa.RecordBatch):
-            names, score = decide(model, text_array(batch.column("text")))
+            names, score = decide(shared.value, text_array(batch.column("text")))
             return [pa.array(names, pa.string()), pa.array(score, pa.float64())]
 
         return each
