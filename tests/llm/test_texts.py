@@ -132,6 +132,15 @@ def test_every_language_is_learned(spark, monkeypatch):
     assert (language.phrases(model, texts) == kept).all() and not model.laid_out
 
 
+def test_samples_are_no_headers(spark):
+    headers = ["1234 5678. " * 200, "a licence in another language " * 60]
+    rows = [(i, "xx", headers[i % 2] + "".join(f"zug{i} quark " for _ in range(300))) for i in range(100)]
+    found = language.sample(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"))["xx"]
+    assert found.count("quark") * len("zug00 quark ") > len(found) / 3
+    assert len(set(re.findall(r"zug\d\d", found))) > 40
+    assert all(re.search("[a-z]", span) for span in found.split("\n")[:-1])
+
+
 @needs_data
 def test_languages_are_told(spark):
     rows = REGISTRY["op8_language"].run(spark, SF).join(table(spark, SF, "documents"), "doc_id").collect()

@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 from .common import add_columns, fold
 from .words import buffers, slices, text_array
 
-#: Bytes of labelled text per language that an automaton is fitted on, and how much of one text.
+#: Bytes of labelled text per language that an automaton is fitted on, and characters of one text.
 SAMPLE_BYTES = 24_000
 SAMPLE_PER_TEXT = 1_500
-#: Labelled texts per language that the sample is taken from.
+#: Spans of labelled texts per language that the sample is taken from, and characters of a span.
 SAMPLE_TEXTS = 200
+SPAN = 150
 BLOCK = 1024
 #: Bytes of text that move on together.
 LANE_BYTES = 1 << 23
@@ -179,10 +180,20 @@ def decide(model: Automata, texts: pa.Array) -> tuple[list[str], np.ndarray]:
 def sample(docs: DataFrame) -> dict[str, str]:
     """A bounded sample of labelled text of each language, from the learning folds."""
     known = docs.filter(F.col("lang").isNotNull() & (fold("doc_id", 5) != 0))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "text")
+    # As many parts as spans that a text gives; a span begins at a hashed place of its part.  The first turn takes one
+    # span of each text, from a hashed part.
+    spans = F.least(F.ceil(F.length("text") / SPAN), F.lit(SAMPLE_PER_TEXT // SPAN)).cast("int")
+    parts = known.select("lang", "text", F.xxhash64("doc_id", "text").alias("h"), spans.alias("parts"))
+    rows = parts.filter("parts > 0").select(
+        "lang", "h", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("turn"), "text", "parts"
+    )
+    wide = F.floor(F.length("text") / F.col("parts"))
+    place = F.pmod(F.col("h"), F.col("parts")) + F.col("turn")
+    begin = wide * F.pmod(place, F.col("parts")) + F.pmod(F.xxhash64("h", "turn"), F.greatest(wide - SPAN, F.lit(0)) + 1)
+    rows = rows.select("lang", "turn", "h", F.col("text").substr(begin.cast("int") + 1, F.lit(SPAN)).alias("text"))
+    order = Window.partitionBy("lang").orderBy("turn", "h", "text")
     rows = (
-        known.filter(F.col("text").rlike(r"\p{L}"))
-        .select("lang", "doc_id", F.substring("text", 1, SAMPLE_PER_TEXT).alias("text"))
+        rows.filter(F.col("text").rlike(r"\p{L}"))
         .withColumn("place", F.row_number().over(order))
         .filter(F.col("place") <= SAMPLE_TEXTS)
         .collect()
