@@ -215,6 +215,17 @@ def test_insults_are_found_also_gapped():
     assert (score([clean, "", "a b"]) < 0.5).all()
 
 
+def test_insults_are_found_at_every_offset_of_a_long_run():
+    texts, labels = toxic_sample()
+    machine = toxicity.fit(texts[:400], labels[:400])
+    score = lambda t: machine.score(toxicity.worst_words(machine, pa.array(t, pa.large_string())))
+    parts = sorted({w for t, y in zip(texts, labels, strict=True) if not y for w in t.split()})
+    run = "".join(parts[:40])[:60]
+    for insult in ("idiot", "scum", "idi*ot", "path_etic", "pathetic"):
+        assert (score([run[:k] + insult + run[k:] for k in range(40)]) >= 0.5).all()
+    assert (score([run, f"https://www.example.org/{run}", "中文字" * 40]) < 0.5).all()
+
+
 def test_toxicity_on_odd_rows(spark, odd, nothing):
     texts, labels = toxic_sample()
     machine = toxicity.fit(texts[:200], labels[:200])

@@ -14,7 +14,8 @@ subsequences: no pair of words is ever compared on the cluster.  Each different
 texts is scored once.
 
 Words are runs without white space, lower-cased, as UTF-8 bytes (the rarest bytes count as one); three or more single characters in a
-row are also read as one word; a word of more than ``WORD`` bytes is read in overlapping windows.
+row are also read as one word; a word of more than ``WORD`` bytes is read in overlapping windows, and in those of
+the lengths of the learned insults at every byte, since what stands beside an insult hides it.
 
 Defined results: a null or empty text has the score of a text without words; without labelled texts of
 both kinds every score is 0; rows with a null label are not learned; repeated rows get equal scores;
@@ -106,6 +107,7 @@ class Machine:
     slope: float = 0.0
     middle: float = 0.0
     trained: bool = False
+    sizes: tuple[int, ...] = ()  # lengths of the learned insults, gapped ones too
 
     def words(self, data: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
         """The machine's value of each word window."""
@@ -130,6 +132,29 @@ class Machine:
                 out[part] += value / np.sqrt(norm)
         return out
 
+    def worst(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """The highest value among the windows of each word."""
+        own, begin, size = word_rows(data, starts, ends)
+        out = np.maximum.reduceat(self.words(data, begin, size), np.searchsorted(own, np.arange(len(starts))))
+        run = np.flatnonzero(ends - starts > WORD)
+        if not len(run):
+            return out
+        known = self.classes[data] > 0
+        length = ends[run] - starts[run]
+        owner = np.repeat(run, length)
+        place = np.arange(len(owner)) + np.repeat(starts[run] - (np.cumsum(length) - length), length)
+        for n in self.sizes:
+            # A window that begins or ends with a byte that no landmark has is less than the one without it.
+            inside = np.flatnonzero(place + n <= ends[owner])
+            inside = inside[known[place[inside]] & known[place[inside] + n - 1]]
+            for s in range(0, len(inside), 1 << 16):
+                part = inside[s : s + (1 << 16)]
+                texts = data[place[part][:, None] + np.arange(n)]
+                _, one, back = np.unique(texts.view(f"V{n}").ravel(), return_index=True, return_inverse=True)
+                value = self.words(data, place[part[one]], np.full(len(one), n))
+                np.maximum.at(out, owner[part], value[back])
+        return out
+
     def score(self, worst: np.ndarray) -> np.ndarray:
         if not self.trained:
             return np.zeros(len(worst))
@@ -166,14 +191,12 @@ def worst_words(machine: Machine, texts: pa.Array) -> np.ndarray:
         spelled = joined_singles(data, ws, we, ranges)
         if len(ws):
             _, one, back = np.unique(spans.hashes(ws, we), return_index=True, return_inverse=True)
-            own, begin, size = word_rows(data, ws[one], we[one])
-            value = np.maximum.reduceat(machine.words(data, begin, size), np.searchsorted(own, np.arange(len(one))))
+            value = machine.worst(data, ws[one], we[one])
             full = np.flatnonzero(np.diff(ranges))
             out[start + full] = np.maximum(out[start + full], np.maximum.reduceat(value[back], ranges[:-1][full]))
         for text, word in spelled:
             raw = np.frombuffer(word, np.uint8)
-            _, begin, size = word_rows(raw, np.array([0]), np.array([len(raw)]))
-            out[start + text] = max(out[start + text], machine.words(raw, begin, size).max())
+            out[start + text] = max(out[start + text], machine.worst(raw, np.array([0]), np.array([len(raw)]))[0])
     return out
 
 
@@ -380,6 +403,7 @@ def fit(texts: list[str], labels: list[int]) -> Machine:
     gap = np.diff(cuts) if len(cuts) > 1 else np.ones(1)
     machine.middle = float(middles[np.lexsort((-gap, errors))[0]])
     machine.slope, machine.trained = 6.0, True
+    machine.sizes = tuple(sorted({len(w) for w in positive if len(w) <= WORD}))
     return machine
 
 
