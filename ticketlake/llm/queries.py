@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    audit_sql,
     byte_bpe,
+    filter_audit,
     html_text,
     language,
     lm_score,
@@ -19,6 +21,7 @@ from . import (
     quality,
     quality_sql,
     toxicity,
+    vector_codes,
     warc,
 )
 from .common import fold, ship
@@ -136,3 +139,13 @@ def near_vectors_of(spark: SparkSession, sf: str) -> DataFrame:
 @query("op2_lm_score")
 def lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     return lm_score.score(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
+@query("op12_filter_audit", audit_sql.AUDIT_SQL)
+def filter_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query("op13_vector_codes", audit_sql.CODES_SQL)
+def vector_codes_of(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf, "embeddings"))
