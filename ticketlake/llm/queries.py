@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import (
     audit_sql,
     byte_bpe,
+    collision_search,
     filter_audit,
     html_text,
     language,
@@ -141,6 +142,11 @@ def lm_scores(spark: SparkSession, sf: str) -> DataFrame:
     return lm_score.score(table(spark, sf, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+@query("op11_nearest_vectors")
+def nearest_vectors_of(spark: SparkSession, sf: str) -> DataFrame:
+    return collision_search.search(table(spark, sf, "embeddings")).drop("query_uid")
+
+
 @query("op12_filter_audit", audit_sql.AUDIT_SQL)
 def filter_orders(spark: SparkSession, sf: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf, "documents"), table(spark, sf, "labels"))
