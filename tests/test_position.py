@@ -113,3 +113,33 @@ def test_scan_does_all_in_one_pass(spark, chunk):
             v, n, i = own if own is not None else v, n + m, i + idx
             r = got[name, idx]
             assert (r["v"], r["at"], r["before"], r["n"], r["i"]) == (v, at, before, n, i)
+
+
+@pytest.mark.parametrize("chunk", [1, 4, 1000])
+def test_values_of_a_whole_file(spark, chunk):
+    rows, df = make(spark, 11)
+    marked = position.scan(
+        df, least={"first_mark": F.when(F.col("m"), F.col("row_idx"))}, greatest={"last_text": F.col("v")}, chunk_rows=chunk
+    )
+    per_file = spark.createDataFrame([("a", 1), ("c", 3), ("z", 9)], "src_file string, tag int")
+    got = position.attach(marked, per_file, chunk_rows=chunk).collect()
+    files = by_file(rows)
+    assert len(got) == len(rows)
+    for r in got:
+        part = files[r["src_file"]]
+        assert r["first_mark"] == min((p[1] for p in part if p[3]), default=None)
+        assert r["last_text"] == max((p[2] for p in part if p[2] is not None), default=None)
+        assert r["tag"] == {"a": 1, "c": 3}.get(r["src_file"])
+    left = position.drop_first(df, chunk_rows=chunk).collect()
+    assert sorted((r["src_file"], r["row_idx"]) for r in left) == sorted((n, i) for n, i, _, _ in rows if i)
+
+
+def test_rows_of_one_file_are_not_dealt_by_file(spark):
+    _, df = make(spark, 3)
+    cells = df.select("src_file", "row_idx", F.col("v").alias("c1"))
+    head = cells.groupBy("src_file").agg(F.max("c1").alias("head"))
+    for plan in (position.drop_first(cells), position.attach(cells, head)):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        # The rows, with their cell, move by file and chunk only.
+        assert "hashpartitioning(src_file#" in text and "_chunk#" in text
+        assert not any("SortMergeJoin [src_file" in x and "_chunk" not in x and "c1#" in x for x in text.splitlines())

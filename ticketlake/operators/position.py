@@ -33,6 +33,8 @@ def scan(
     fills: dict[str, Column] | None = None,
     above: dict[str, Column] | None = None,
     sums: dict[str, Column] | None = None,
+    least: dict[str, Column] | None = None,
+    greatest: dict[str, Column] | None = None,
     part: str | list[str] = PART,
     order: str = ORDER,
     chunk_rows: int = CHUNK_ROWS,
@@ -40,12 +42,15 @@ def scan(
     """Several fills and running totals in file order, with one shuffle and one summary of the chunks.
 
     Each output column is the last non-NULL value of an expression up to the row (``fills``) or before
-    it (``above``), or an expression's total up to the row (``sums``).
+    it (``above``), an expression's total up to the row (``sums``), or its least or greatest value in
+    the whole file (``least``, ``greatest``).  What belongs to a whole file reaches its rows through the
+    summary, so a hot file is never one task's.
     """
     part = [part] if isinstance(part, str) else part
-    fills, above, sums = fills or {}, above or {}, sums or {}
+    fills, above, sums, least, greatest = (x or {} for x in (fills, above, sums, least, greatest))
     last = {**fills, **above}
-    given = {f"_v_{k}": v for k, v in {**last, **sums}.items()}
+    whole = {**{k: F.min for k in least}, **{k: F.max for k in greatest}}
+    given = {f"_v_{k}": v for k, v in {**last, **sums, **least, **greatest}.items()}
     chunked = df.withColumns({_CHUNK: _chunk(order, chunk_rows), **given})
 
     def value(k: str) -> Column:
@@ -55,9 +60,10 @@ def scan(
     totals = [F.sum(value(k)).alias(f"_c_{k}") for k in sums]
     carried = (
         chunked.groupBy(*part, _CHUNK)
-        .agg(*newest, *totals)
+        .agg(*newest, *totals, *[merge(value(k)).alias(f"_c_{k}") for k, merge in whole.items()])
         .withColumns(
             {
+                **{f"_c_{k}": merge(f"`_c_{k}`").over(W.partitionBy(*part)) for k, merge in whole.items()},
                 **{f"_c_{k}": F.last(f"`_c_{k}`", True).over(_before(part)) for k in last},
                 **{f"_c_{k}": F.coalesce(F.sum(f"`_c_{k}`").over(_before(part)), F.lit(0)) for k in sums},
             }
@@ -75,6 +81,7 @@ def scan(
     out = {
         **{k: F.coalesce(value(k), F.col(f"`_c_{k}`")) for k in last},
         **{k: value(k) + F.col(f"`_c_{k}`") for k in sums},
+        **{k: F.col(f"`_c_{k}`") for k in whole},
     }
     names = [*df.columns, *[k for k in out if k not in df.columns]]
     return joined.withColumns(out).select([F.col(f"`{c}`") for c in names])
@@ -178,11 +185,25 @@ def numbered(
     return ranked.select(*df.columns, out)
 
 
-def drop_first(df: DataFrame, part: str | list[str] = PART, order: str = ORDER) -> DataFrame:
+def drop_first(
+    df: DataFrame, part: str | list[str] = PART, order: str = ORDER, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
     """All rows but the first one of each file."""
-    part = [part] if isinstance(part, str) else part
-    first = df.groupBy(*part).agg(F.min(order).alias("_first"))
-    return df.join(first, part).filter(F.col(order) > F.col("_first")).drop("_first")
+    marked = scan(df, least={"_first": F.col(order)}, part=part, order=order, chunk_rows=chunk_rows)
+    return marked.filter(F.col(order) > F.col("_first")).drop("_first")
+
+
+def attach(
+    df: DataFrame, per_file: DataFrame, part: str = PART, order: str = ORDER, chunk_rows: int = CHUNK_ROWS
+) -> DataFrame:
+    """Join a per-file table to the rows of each file, through the files' chunks.
+
+    The table meets one row per chunk on the file; rows meet it on file and chunk.
+    """
+    chunked = df.withColumn(_CHUNK, _chunk(order, chunk_rows))
+    chunks = chunked.select(part, _CHUNK).distinct().join(per_file, part)
+    joined = chunked.join(chunks, [part, _CHUNK], "left")
+    return joined.select(*df.columns, *[c for c in per_file.columns if c != part])
 
 
 def section_header(

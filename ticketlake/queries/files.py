@@ -35,13 +35,13 @@ def _exports(spark, sf) -> str:
     "account_exports",
     """select event_type as account, case when user_id % 2 = 0 then 'user' else 'article' end as kind,
       (select count(*) from events e where e.event_type = events.event_type) as all_rows, count(*) as rows, cast(sum(floor(value)) as bigint) as reads, cast(sum(event_id % 7) as bigint) as shares
-    from events where event_type <> 'error' group by 1, 2, 3""",
+    from events group by 1, 2, 3""",
 )
 def account_exports(spark, sf):
     """Several accounts, each from a list of folders; the files are told apart by their name."""
     root = _exports(spark, sf)
     paths = {
-        a: [f"{root}/event_type={a}/kind={k}" for k in ("user", "article")] for a in ("view", "click", "signup", "purchase")
+        a: [f"{root}/event_type={a}/kind={k}" for k in ("user", "article")] for a in ("view", "click", "signup", "purchase", "error")
     }
     accounts = readers.read_accounts(spark, paths, _NAMES).groupBy("account").agg(F.count(F.lit(1)).alias("all_rows"))
     # The same files by their names.
@@ -112,11 +112,11 @@ _TEXTS = ["2024-01-05 19:30:00", "2024-01-05 19:30", "2024年01月05日 19:30",
 @query(
     "session_texts",
     f"""select {pick_sql(_TEXTS, 'o_orderkey')} as given,
-      case when o_orderkey % 5 < 3 then '2024-01-05 19:30:00' end as session, count(*) as orders
-    from orders where o_orderkey % 5 <> 3 group by 1, 2""",
+      case when o_orderkey % 5 < 4 then '2024-01-05 19:30:00' end as session, count(*) as orders
+    from orders group by 1, 2""",
 )
 def session_texts(spark, sf):
-    given = table(spark, sf, "orders").filter("o_orderkey % 5 <> 3").select(pick(_TEXTS, F.col("o_orderkey")).alias("given"))
+    given = table(spark, sf, "orders").select(pick(_TEXTS, F.col("o_orderkey")).alias("given"))
     return given.groupBy("given", dates.normalize_session("given").alias("session")).agg(
         F.count(F.lit(1)).alias("orders")
     )
@@ -137,9 +137,9 @@ def strict_prices(spark, sf):
 @query(
     "full_join_on_measures",
     """with a as (select event_type as platform, user_id % 5 as account, count(*) as items, nullif(sum(event_id % 3), 0) as shares
-        from events where user_id % 3 <> 0 group by 1, 2),
-    b as (select event_type as platform, user_id % 5 as account, count(*) as items, nullif(sum(event_id % 3), 0) as shares,
-        max(event_id) as last from events where user_id % 3 <> 0 or user_id % 5 = 1 group by 1, 2)
+        from events group by 1, 2),
+    b as (select event_type as platform, case when event_type in ('view', 'click') then user_id % 5 else user_id % 7 end as account,
+        count(*) as items, nullif(sum(event_id % 3), 0) as shares, max(event_id) as last from events group by 1, 2)
     select coalesce(a.platform, b.platform) as platform, cast(coalesce(a.account, b.account) as bigint) as account,
       coalesce(a.items, b.items) as items, cast(coalesce(a.shares, b.shares) as bigint) as shares, last
     from a full join b on a.platform = b.platform and a.account = b.account and a.items = b.items
@@ -147,28 +147,40 @@ def strict_prices(spark, sf):
 )
 def full_join_on_measures(spark, sf):
     """Two tables of accounts that agree on four keys, two of them measures, or stand side by side."""
-    events = table(spark, sf, "events").withColumn("account", F.col("user_id") % 5)
-    keys = [F.col("event_type").alias("platform"), "account"]
+    events = table(spark, sf, "events")
     sums = [F.count(F.lit(1)).alias("items"), F.nullif(F.sum(F.col("event_id") % 3), F.lit(0)).alias("shares")]
-    left = events.filter("user_id % 3 <> 0").groupBy(*keys).agg(*sums)
-    right = events.filter("user_id % 3 <> 0 or account = 1").groupBy(*keys).agg(*sums, F.max("event_id").alias("last"))
+
+    def accounts(account, *more):
+        return events.groupBy(F.col("event_type").alias("platform"), account.alias("account")).agg(*sums, *more)
+
+    five, seven = F.col("user_id") % 5, F.col("user_id") % 7
+    left = accounts(five)
+    # The same accounts for two platforms, others for the rest.
+    right = accounts(F.when(F.col("event_type").isin("view", "click"), five).otherwise(seven), F.max("event_id").alias("last"))
     return weekly.full_join_on_measures(left, right, ["platform", "account", "items", "shares"])
 
 
-@query(
-    "quoted_breaks_grid",
-    """select r_name as note, cast(n_regionkey as bigint) as region, count(*) as rows, min(n_name || chr(10) || 'of ' || r_name) as cell
-    from nation join region on n_regionkey = r_regionkey group by 1, 2""",
+_QUOTED_SQL = """
+with lines as (
+  select o_orderpriority as note, '"' || o_orderstatus || '",' || chr(10) || 'of ' || o_orderpriority as cell,
+    cast(o_totalprice as decimal(18,2)) as price
+  from orders
 )
+select note, cell, count(*) as rows, cast(sum(price) as double) as price
+from lines group by 1, 2"""
+
+
+@query("quoted_breaks_grid", _QUOTED_SQL)
 def quoted_breaks_grid(spark, sf):
-    """A report with line breaks inside quoted cells."""
+    """A report with quotes, separators and line breaks inside its cells; every row has a position of its own."""
     root = shared_dir(spark, "quoted")
-    nations = table(spark, sf, "nation").join(table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    nations.select(
-        F.concat("n_name", F.lit("\nof "), "r_name").alias("cell"), F.col("n_regionkey").cast("string").alias("region"), "r_name"
-    ).write.option("quoteAll", True).csv(root)
+    status = F.concat(F.lit('"'), "o_orderstatus", F.lit('",\nof '), "o_orderpriority")
+    table(spark, sf, "orders").select(
+        status.alias("cell"), F.col("o_totalprice").cast("decimal(18,2)").alias("price"), "o_orderpriority"
+    ).write.options(quoteAll=True, escape='"').csv(root)
     grid = readers.read_grid(spark, root, 3, glob="*.csv", quoted_breaks=True)
-    numbered = grid.filter(F.col(ORDER) >= 0)
-    return numbered.groupBy(F.col("c3").alias("note"), F.col("c2").cast("long").alias("region")).agg(
-        F.count(F.lit(1)).alias("rows"), F.min("c1").alias("cell")
+    return out(
+        grid.groupBy(F.col("c3").alias("note"), F.col("c1").alias("cell")).agg(
+            F.count_distinct(PART, ORDER).alias("rows"), F.sum(F.col("c2").cast("decimal(18,2)")).alias("price")
+        )
     )

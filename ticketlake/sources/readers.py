@@ -13,7 +13,9 @@ from pyspark.sql import types as T
 from ticketlake.functions.dates import month_day
 from ticketlake.functions.text import capture
 from ticketlake.operators.lookup import small_side
-from ticketlake.operators.position import ORDER, PART, numbered
+from ticketlake.operators.position import ORDER, PART, attach, numbered, scan
+
+from .records import read_records
 
 Paths = str | list[str]
 
@@ -117,33 +119,16 @@ def read_grid(
 ) -> DataFrame:
     """A headerless report as ``(src_file, row_idx, c1..cn)``; empty cells are NULL.
 
-    With ``quoted_breaks`` a quoted cell may hold line breaks.  Then only the start of a file tells
-    where its rows begin, so each file is read by one task; other reports are split.
+    With ``quoted_breaks`` a quoted cell may hold line breaks, and quotes in it are doubled.  Both kinds of
+    report are read by as many tasks as they have splits.
     """
-    if not quoted_breaks:
-        return to_grid(read_lines(spark, paths, glob), width, sep)
-    names = [f"c{i}" for i in range(1, width + 1)]
-    options = {"multiLine": True, "sep": sep, "escape": '"', "recursiveFileLookup": True, "mode": "PERMISSIVE"}
-    if glob:
-        options["pathGlobFilter"] = glob
-    rows = (
-        spark.read.schema(text_schema(names))
-        .options(**options)
-        .csv(paths)
-        .select(file_path().alias(PART), F.monotonically_increasing_id().alias("_id"), *names)
-    )
-    # One row per file, and the ids of a file rise by one.
-    first = rows.groupBy(PART).agg(F.min("_id").alias("_first"))
-    return attach_to_source(rows, first).select(
-        PART,
-        (F.col("_id") - F.col("_first")).alias(ORDER),
-        *[F.nullif(F.trim(n), F.lit("")).alias(n) for n in names],
-    )
+    lines = read_records(spark, paths, file_path(), glob) if quoted_breaks else read_lines(spark, paths, glob)
+    return to_grid(lines, width, sep, {"escape": '"'} if quoted_breaks else {})
 
 
-def to_grid(lines: DataFrame, width: int, sep: str = ",") -> DataFrame:
+def to_grid(lines: DataFrame, width: int, sep: str = ",", options: dict[str, str] | None = None) -> DataFrame:
     names = [f"c{i}" for i in range(1, width + 1)]
-    parsed = F.from_csv("line", ", ".join(f"{n} STRING" for n in names), {"sep": sep})
+    parsed = F.from_csv("line", ", ".join(f"{n} STRING" for n in names), {"sep": sep, **(options or {})})
     return lines.select(PART, ORDER, parsed.alias("_g")).select(
         PART, ORDER, *[F.nullif(F.trim(f"_g.{n}"), F.lit("")).alias(n) for n in names]
     )
@@ -197,17 +182,17 @@ def header_mismatch(grid: DataFrame, names: list[str], header_row: int) -> DataF
 def preamble(
     grid: DataFrame, cells: dict[str, tuple[int, int]], skip_rows: int, files: int | None = None
 ) -> DataFrame:
-    """Fixed cells (0-based row, 1-based column) of each file become columns of its body rows."""
+    """Fixed cells (0-based row, 1-based column) of each file become columns of its body rows.
+
+    With a known number of files the cells are joined, broadcast when that is small; otherwise they
+    travel in the chunk summary.
+    """
     cols = grid_columns(grid)
+    found = {name: F.when(F.col(ORDER) == r, F.col(cols[c - 1])) for name, (r, c) in cells.items()}
+    if files is None:
+        return rows_between(scan(grid, greatest=found), skip_rows)
     head = (
-        grid.filter(F.col(ORDER) < skip_rows)
-        .groupBy(PART)
-        .agg(
-            *[
-                F.max(F.when(F.col(ORDER) == r, F.col(cols[c - 1]))).alias(name)
-                for name, (r, c) in cells.items()
-            ]
-        )
+        grid.filter(F.col(ORDER) < skip_rows).groupBy(PART).agg(*[F.max(c).alias(n) for n, c in found.items()])
     )
     return attach_to_source(rows_between(grid, skip_rows), head, files)
 
@@ -284,16 +269,12 @@ def sheet_name() -> Column:
     return F.element_at(F.split(PART, "/"), -2)
 
 
-def file_count(df: DataFrame) -> int:
-    """Number of files that a scan reads: a bound for every per-file table made from it."""
-    return len(df.inputFiles())
-
-
 def attach_to_source(df: DataFrame, per_file: DataFrame, files: int | None = None) -> DataFrame:
     """Join a per-file table to the rows of each file.
 
-    With a known number of files the table is broadcast when that is small.  Otherwise adaptive
-    execution decides, and splits the rows of a file that is too big for one task.
+    With a known number of files the table is broadcast when that is small; otherwise it reaches the
+    rows through the chunks of their file, so one file may be of any size.
     """
-    side = small_side(per_file, files) if files is not None else per_file
-    return df.join(side, PART, "left")
+    if files is None:
+        return attach(df, per_file)
+    return df.join(small_side(per_file, files), PART, "left")
