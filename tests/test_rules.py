@@ -199,3 +199,115 @@ def test_hot_code_is_attributed_without_a_shuffle(spark):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
     assert got.filter("action_date = '2023-08-21'").count() == 10_000
+
+
+def random_rules(rnd, n, codes="abc", days=12):
+    stamps = [str(dt.date(2024, 1, 1) + dt.timedelta(days=i)) for i in range(days)]
+    return stamps, [
+        (rnd.choice(codes), rnd.choice([None, *stamps]), rnd.choice([None, *stamps]), f"L{i}", rnd.choice([None, f"d{i}"]), f"t{i}")
+        for i in range(n)
+    ]
+
+
+@pytest.mark.parametrize("path", ["literal", "swept", "blocks"])
+@pytest.mark.parametrize("conflict", ["last", "first"])
+def test_settled_in_every_way(spark, monkeypatch, path, conflict):
+    from ticketlake.operators import rules as module
+
+    rnd = random.Random(f"{path}{conflict}")
+    stamps, given = random_rules(rnd, 70, days=30)
+    facts = [(rnd.choice(["a", "b", "c", "d", None]), rnd.choice([*stamps, None])) for _ in range(300)]
+    base = dims.referral(spark, given)
+    monkeypatch.setattr(module, "PAGE", 4)
+    if path == "blocks":
+        monkeypatch.setattr(module, "MAX_BROADCAST_ROWS", 10)
+    if path == "literal":
+        ruleset = RuleSet.of(spark, "r", given, dims.REFERRAL_KEYS, dims.REFERRAL_OUTPUTS, "timestamp_ntz", conflict)
+    else:
+        ruleset = RuleSet("r", base.table.repartition(3), base.keys, base.outputs, True, conflict)
+    assert len(ruleset._pages) >= 2
+    df = spark.createDataFrame([(i, *f) for i, f in enumerate(facts)], "i int, code string, at string")
+    typed = df.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = {r["i"]: (r["channel_detail"], r["action_date"], r["action_type"])
+           for r in sales.attribute(typed, ruleset, "code", "at").collect()}
+    ordered = given if conflict == "last" else given[::-1]
+    assert got == {i: naive(ordered, c, t) for i, (c, t) in enumerate(facts)}
+    audit = {r["label"]: r["rows"] for r in ruleset.audit(typed, {"code": "code"}, "at").collect()}
+    want = {}
+    for c, t in facts:
+        if c is not None and not any(covers(r, c, t) for r in given):
+            want[c] = want.get(c, 0) + 1
+    assert audit == want
+
+
+def covers(rule, code, at):
+    c, lo, hi = rule[:3]
+    if at is None:
+        return c == code and lo is None and hi is None
+    return c == code and (lo is None or at >= lo) and (hi is None or at < hi)
+
+
+def test_many_rules_on_one_code(spark):
+    """200,000 overlapping rules of one code and as many rows: the last rule that holds a row is its last start."""
+    import time
+
+    n = 200_000
+    day = F.lit("2024-01-01").cast("timestamp_ntz")
+    at = day + F.make_dt_interval(secs=F.col("id"))
+    table = spark.range(n).select(
+        F.col("id").cast("int").alias("rule_no"), F.lit("x").alias("code"), at.alias("lo"),
+        (at + F.make_dt_interval(secs=F.col("id") % 500 + 1)).alias("hi"), F.concat(F.lit("L"), F.col("id")).alias("detail"),
+    )
+    rules = RuleSet("many", table, ("code",), {"detail": "none"}, True, "last", n)
+    facts = spark.range(n).select("id", F.lit("x").alias("code"), at.alias("at"))
+    start = time.time()
+    wrong = rules.apply(facts, {"code": "code"}, "at").filter(F.col("detail") != F.concat(F.lit("L"), F.col("id"))).count()
+    assert wrong == 0 and time.time() - start < 60
+    first = RuleSet("many", table, ("code",), {"detail": "none"}, True, "first", n)
+    got = first.apply(facts.filter("id in (0, 700, 199999)"), {"code": "code"}, "at").orderBy("id").collect()
+    assert [r["detail"] for r in got] == [
+        "L" + str(min(i for i in range(max(0, k - 500), k + 1) if i + i % 500 + 1 > k)) for k in (0, 700, 199_999)
+    ]
+
+
+def test_large_tables_are_settled_without_a_group_per_key(spark, monkeypatch):
+    from ticketlake.operators import rules as module
+
+    monkeypatch.setattr(module, "MAX_BROADCAST_ROWS", 100)
+    n = 3000
+    table = spark.range(n).selectExpr("cast(id as int) as rule_no", "'x' as code", "cast(id % 1000 as double) as lo",
+                                      "cast(id % 1000 + 1 + id % 7 * 100 as double) as hi", "cast(id as string) as v")
+    rules = RuleSet("large", table, ("code",), {"v": ""}, True, "last")
+    got = {r["at"]: r["v"] for r in rules.apply(
+        spark.range(0, 1700, 13).selectExpr("'x' as code", "cast(id as double) as at"), {"code": "code"}, "at").collect()}
+    for at, v in got.items():
+        fits = [i for i in range(n) if i % 1000 <= at < i % 1000 + 1 + i % 7 * 100]
+        assert v == (str(max(fits)) if fits else "")
+
+
+def test_a_few_literal_rules_need_no_join(spark):
+    rules = RuleSet.of(
+        spark, "m", [("a'b", "x", "1"), ("a\\", None, "2"), ("a'b", "x", None), (None, "x", "3"), ("e", "f", "4")],
+        {"k": "string", "l": "string"}, {"v": ("double", None)},
+    )
+    df = spark.createDataFrame([("a'b", "x"), ("a\\", None), (None, "x"), ("e", "f"), ("ef", "")], "k string, l string")
+    found = rules.apply(df, {"k": "k", "l": "l"})
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["v"] for r in found.collect()] == [1.0, None, None, 4.0, None]
+
+
+@pytest.mark.parametrize("tracked", [1000, 2])
+def test_audit_in_the_same_pass(spark, monkeypatch, tracked):
+    from ticketlake.operators import rules as module
+
+    monkeypatch.setattr(module, "TRACKED", tracked)
+    df = spark.createDataFrame([("680元",), ("zz",), (None,), ("zz",), ("y",), ("x",)], "label string").repartition(2)
+    price = dims.price_label(spark)
+    rows, audit = price.audited(df, {"label": "label"})
+    assert sorted(tuple(r) for r in audit.collect()) == sorted(tuple(r) for r in price.audit(df, {"label": "label"}).collect())
+    assert rows.columns == ["label", "price"] and rows.count() == 6
+    assert rows.filter("price = 680").count() == 1
+    if tracked == 1000:
+        # The audit comes from metrics: no file and no join in its plan.
+        plan = audit._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan and "Join" not in plan
