@@ -246,6 +246,63 @@ def test_incremental_batch_reads_a_file_once(spark, tmp_path):
     assert ingest.append_unread(readers.read_folder(spark, str(src), ["a"]), store, manifest).count() == 3
 
 
+def test_runs_at_once_add_each_file_once(spark, tmp_path, monkeypatch):
+    from ticketlake.sources import commits
+
+    src, store, manifest = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "manifest")
+    put(src, "1.csv", ["a", "1", "2"])
+    put(src, "2.csv", ["a", "3"])
+    real, others = commits.commit, []
+
+    def late(session, log, number, batch):
+        # Another run commits between this run's reading and its own commit: once the same files, then a new one.
+        if len(others) < 2:
+            others.append(number)
+            put(src, f"x{len(others)}.csv", ["a", str(10 * len(others))])
+            ingest.append_unread(readers.read_folder(spark, str(src), ["a"]), store, manifest)
+        return real(session, log, number, batch)
+
+    monkeypatch.setattr(commits, "commit", late)
+    first = readers.read_folder(spark, str(src), ["a"])
+    rows = ingest.append_unread(first, store, manifest)
+    assert sorted(r["a"] for r in rows.collect()) == ["1", "10", "2", "20", "3"]
+    # The first run lost twice; what was left of its batch is empty, yet its entry is in the log.
+    assert [r["n"] for r in commits.entries(spark, f"{manifest}/log").orderBy("n").collect()] == [1, 2, 3]
+    assert ingest.append_unread(readers.read_folder(spark, str(src), ["a"]), store, manifest).count() == 5
+
+
+def test_an_entry_has_one_winner(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from ticketlake.sources import commits
+
+    log = str(tmp_path / "一 log")
+    for number in range(1, 6):
+        with ThreadPoolExecutor(8) as pool:
+            won = list(pool.map(lambda k, n=number: commits.commit(spark, log, n, f"b{k}"), range(8)))
+        assert sum(won) == 1
+        assert commits.head(spark, log) == number
+        named = {r["n"]: r["batch"] for r in commits.entries(spark, log).collect()}
+        assert named[number] == f"b{won.index(True)}"
+
+
+def test_days_are_replaced_one_by_one(spark, tmp_path):
+    path = str(tmp_path / "wide")
+
+    def days(*rows):
+        return conform(spark.createDataFrame(list(rows), "day string, net_revenue double").withColumn("order_ts", F.col("day").cast("timestamp_ntz")))
+
+    ingest.write_sales(days(("2024-01-01", 1.0), ("2024-01-02", 2.0), ("2024-02-01", 3.0)), path)
+    for _ in range(2):
+        ingest.write_sales(days(("2024-01-02", 5.0), ("2024-01-02", 6.0), ("2024-03-01", 7.0)), path, only_given=True)
+    back = spark.read.parquet(path).select(F.col("order_start").cast("string"), F.col("net_revenue").cast("double"))
+    assert sorted(map(tuple, back.collect())) == [
+        ("2024-01-01", 1.0), ("2024-01-02", 5.0), ("2024-01-02", 6.0), ("2024-02-01", 3.0), ("2024-03-01", 7.0),
+    ]
+    ingest.write_sales(days(("2024-05-01", 1.0)), path)
+    assert spark.read.parquet(path).count() == 1
+
+
 def test_cached_table(spark, tmp_path):
     path, built = str(tmp_path / "t"), []
 

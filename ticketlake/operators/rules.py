@@ -270,8 +270,9 @@ class RuleSet:
         into: dict[str, str] | None = None,
         metrics: str | Observation = "audit",
     ) -> DataFrame:
-        """Like :meth:`apply`, and counts on the way: ``rows``, ``unknown`` ones, and the commonest unknown ``labels``.
+        """Like :meth:`apply`, and counts on the way: ``rows``, ``unknown`` ones, and the commonest ``labels``.
 
+        ``labels`` counts unknown labels, and known rows under no label; ``_r_unknown`` is a row's unknown label.
         A name is for streams, whose listeners get the metrics of every batch; an observation is for one action.
         """
         into = into or {o: o for o in self.outputs}

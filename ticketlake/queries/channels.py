@@ -1013,27 +1013,28 @@ def csv_folder_scan(spark, sf):
 START = T.StructField("order_start", T.DateType())
 
 
+_RESTATED = "o_orderdate >= timestamp '1997-03-01' and o_orderdate < timestamp '1997-04-01'"
+
+
 @query(
     "partitioned_sales_sink",
-    """select strftime(o_orderdate, '%Y-%m-%d') as order_day, count(*) as lines,
-      cast(sum(cast(o_totalprice as decimal(18,4))) as double) as revenue
-    from orders where o_orderdate >= timestamp '1997-01-01' and o_orderdate < timestamp '1998-01-01' group by 1""",
+    f"""select strftime(o_orderdate, '%Y-%m-%d') as order_day, count(*) as lines,
+      cast(sum(cast(o_totalprice as decimal(18,4)) * case when {_RESTATED} then 2 else 1 end) as double) as revenue
+    from orders group by 1""",
 )
 def partitioned_sales_sink(spark, sf):
-    """Wide table on disk by order month; a year is read by pruning its folders."""
+    """Wide table on disk by order month; one month is written again with other prices, the rest stays."""
     path = shared_dir(spark, "wide")
-    rows = conform(
-        table(spark, sf, "orders").select(
-            F.col("o_orderdate").alias("order_ts"), F.col("o_totalprice").alias("net_revenue")
-        )
-    )
-    ingest.write_sales(rows, path, unit="month")
+    price = F.col("o_totalprice").cast("decimal(18,4)")
+    given = table(spark, sf, "orders").select(F.col("o_orderdate").alias("order_ts"), price.alias("net_revenue"))
+    ingest.write_sales(conform(given), path, unit="month")
+    march = given.filter("order_ts >= timestamp_ntz '1997-03-01' and order_ts < timestamp_ntz '1997-04-01'")
+    doubled = conform(march.withColumn("net_revenue", F.col("net_revenue") * 2))
+    for _ in range(2):  # again after a failure: the same table
+        ingest.write_sales(doubled, path, unit="month", only_given=True)
     back = spark.read.schema(T.StructType([*SALES_SCHEMA.fields, START])).parquet(path)
-    start = F.col("order_start")
-    year = back.filter((start >= F.lit("1997-01-01").cast("date")) & (start < F.lit("1998-01-01").cast("date")))
     return out(
-        year.groupBy(F.to_date("order_ts").alias("order_day")).agg(
+        back.groupBy(F.to_date("order_ts").alias("order_day")).agg(
             F.count(F.lit(1)).alias("lines"), F.sum("net_revenue").alias("revenue")
         )
     )
-

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.functions import dates
 from ticketlake.operators import reshape
-from ticketlake.operators.lookup import require
+from ticketlake.operators.lookup import require, small_side
 from ticketlake.operators.position import ORDER, PART
 from ticketlake.plans import weekly
 from ticketlake.session import shared_dir
-from ticketlake.sources import ingest, readers
+from ticketlake.sources import commits, ingest, readers
 
 from .base import out, pick, pick_sql, query, table
 
@@ -184,3 +186,31 @@ def quoted_breaks_grid(spark, sf):
             F.count_distinct(PART, ORDER).alias("rows"), F.sum(F.col("c2").cast("decimal(18,2)")).alias("price")
         )
     )
+
+
+@query(
+    "concurrent_ingest",
+    """select event_type, count(*) as rows, cast(sum(floor(value)) as bigint) as reads,
+      (select cast(count(*) as integer) from (select distinct event_type, user_id % 2 from events)) as files
+    from events group by 1""",
+)
+def concurrent_ingest(spark, sf):
+    """Two runs read the same folder at once, then a third; each file is added once."""
+    root, store, manifest = _exports(spark, sf), shared_dir(spark, "store"), shared_dir(spark, "manifest")
+
+    def run(_) -> None:
+        # One file of rows per folder counts as one: the folders are the accounts' exports.
+        read = readers.read_folder(spark, root, _NAMES)
+        ingest.append_unread(read.withColumn(PART, F.regexp_replace(PART, "/[^/]*$", "")), store, manifest)
+
+    with ThreadPoolExecutor(2) as pool:
+        list(pool.map(run, range(2)))
+    run(None)
+    schema = "day string, reads string, shares string, src_file string, batch string"
+    named = commits.entries(spark, f"{manifest}/log").select("batch")
+    rows = spark.read.schema(schema).parquet(store).join(small_side(named), "batch", "left_semi")
+    files = ingest.read_manifest(spark, manifest).agg(F.count(F.lit(1)).cast("int").alias("files"))
+    counted = rows.groupBy(F.regexp_extract(PART, "event_type=([a-z]+)", 1).alias("event_type")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("reads").cast("long")).alias("reads")
+    )
+    return counted.withColumn("files", F.lit(files.first()["files"]))

@@ -9,9 +9,10 @@ from ticketlake import dims
 from ticketlake.functions.nulls import strict_sum
 from ticketlake.operators import position
 from ticketlake.operators.position import ORDER, PART
+from ticketlake.operators.rules import RuleSet
 from ticketlake.plans import channels as ch
 from ticketlake.plans import weekly
-from ticketlake.plans.daily import totals
+from ticketlake.plans.daily import channel_group, totals
 from ticketlake.schema import CONTENT_SCHEMA, FOLLOWERS_SCHEMA, SALES_SCHEMA, conform
 from ticketlake.session import shared_dir, written
 from ticketlake.streaming import flows
@@ -454,7 +455,7 @@ def stream_daily_revenue(spark, sf):
         net_revenue().alias("net_revenue"),
     )
     done = flows.finished(spark, flows.daily_revenue(sales), "daily-revenue", complete=True)
-    return out(done)
+    return out(done.drop("items"))
 
 
 @query(
@@ -520,3 +521,105 @@ def stream_ingest_files(spark, sf):
     return out(
         done.groupBy("order_ts").agg(F.count(F.lit(1)).alias("lines"), *totals())
     )
+
+
+# A line arrives with the half year of its shipping; some come a half year or a year later.
+_ARRIVAL = """(year(l_shipdate) - 1992) * 2 + cast(month(l_shipdate) > 6 as integer)
+      + case when l_orderkey % 41 = 0 then 2 when l_orderkey % 23 = 0 then 1 else 0 end"""
+_RUNS = 4
+_LATE_DAYS = 60
+
+
+@query(
+    "stream_final_days",
+    f"""with x as (select l_shipdate, l_quantity, {NET_SQL} as revenue,
+        case when l_returnflag in ('A', 'N') then '分销' else '自营' end as channel_group,
+        ({_ARRIVAL} - (select min({_ARRIVAL}) from lineitem))
+          * {_RUNS} // (select max({_ARRIVAL}) - min({_ARRIVAL}) + 1 from lineitem) as run from lineitem),
+    marks as (select r.run, (select max(l_shipdate) from x where x.run < r.run) - interval {_LATE_DAYS} day as mark
+      from (select unnest(range({_RUNS})) as run) r),
+    final as (select max(l_shipdate) - interval {_LATE_DAYS} day as mark from x),
+    kept as (select x.*, m.mark is not null and date_trunc('day', l_shipdate) + interval 1 day <= m.mark as late
+      from x join marks m using (run))
+    select strftime(l_shipdate, '%Y-%m-%d') as order_day, channel_group,
+      cast(sum(l_quantity) filter (not late) as bigint) as tickets, cast(sum(revenue) filter (not late) as double) as revenue,
+      count(*) filter (not late) as items, count(*) filter (late) as late
+    from kept where date_trunc('day', l_shipdate) + interval 1 day <= (select mark from final)
+    group by 1, 2 having count(*) filter (not late) > 0""",
+)
+def stream_final_days(spark, sf):
+    """Lines arrive in several runs, some of them late: a day is written once, when the watermark has passed it."""
+    folder, store, checkpoint = (shared_dir(spark, n) for n in ("lines-in", "days-out", "days-checkpoint"))
+    arrival = F.expr(_ARRIVAL)
+    kind = F.when(F.col("l_returnflag") == "A", "分销-系统").when(F.col("l_returnflag") == "N", "分销-报单")
+    lines = table(spark, sf, "lineitem").select(
+        arrival.alias("arrival"),
+        F.col("l_shipdate").alias("order_ts"),
+        kind.otherwise(CHANNEL_GROUPS[0]).alias("channel_type"),
+        F.col("l_quantity").cast("int").alias("tickets"),
+        net_revenue().alias("net_revenue"),
+    )
+    low, high = lines.agg(F.min("arrival"), F.max("arrival")).first()
+    low, high = low or 0, high or 0
+    schema = lines.drop("arrival").schema
+    run = F.floor((F.col("arrival") - low) * _RUNS / (high - low + 1))
+    for k in range(_RUNS):
+        lines.filter(run == k).drop("arrival").write.mode("append").parquet(folder)
+        days = flows.daily_revenue(flows.parquet_files(spark, folder, schema, per_batch=100_000), f"{_LATE_DAYS} days")
+        flows.finalised(days, store, checkpoint)
+    final = spark.read.schema(days.schema).parquet(store)
+    keys = ["order_day", "channel_group"]
+    came = spark.read.schema(schema).parquet(folder).groupBy(
+        F.to_date("order_ts").alias("order_day"), channel_group().alias("channel_group")
+    ).agg(F.count(F.lit(1)).alias("items"))
+    return out(flows.late_rows(came, final, keys))
+
+
+_CHANGED = [
+    ("view", "2024-01-10", None, "自然销售-新", "2024-01-10", "自然销售"),
+    ("error", None, None, "微博-排练照", None, "微博"),
+    *REFERRAL[1:],
+]
+_CHANGED_SQL = values_sql(
+    [(i, *r) for i, r in enumerate(_CHANGED)], "r", "n, code, lo, hi, detail, action_date, action_type"
+)
+
+
+def _attributed_sql(rules: str, where: str) -> str:
+    return f"""select event_id, coalesce(arg_max(detail, n) filter (detail is not null), '其他') as detail,
+        coalesce(arg_max(action_type, n) filter (action_type is not null), '其他') as action_type
+      from events left join {rules} on event_type = code
+        and (lo is null or ts >= cast(lo as timestamp)) and (hi is null or ts < cast(hi as timestamp))
+      where {where} group by 1"""
+
+
+@query(
+    "stream_changing_rules",
+    f"""with m as (select *, 1 as version from ({_attributed_sql(_REFERRAL_SQL, 'event_id % 3 < 2')})
+      union all select *, 2 as version from ({_attributed_sql(_CHANGED_SQL, 'event_id % 3 = 2')}))
+    select detail as channel_detail, action_type, cast(version as bigint) as version, count(*) as events
+    from m group by 1, 2, 3""",
+)
+def stream_changing_rules(spark, sf):
+    """The rules change between two micro-batches; every row carries the version it was attributed with."""
+    names = ("events-in", "rules", "attributed", "attributed-checkpoint")
+    folder, rules, store, checkpoint = (shared_dir(spark, n) for n in names)
+    events = table(spark, sf, "events").select("event_id", "event_type", "ts")
+    parts = (("event_id % 3 < 2", REFERRAL), ("event_id % 3 = 2", _CHANGED))
+    for part, given in parts:
+        base = dims.referral(spark, given)
+        flows.publish_rules(spark, rules, base.table)
+        events.filter(part).write.mode("append").parquet(folder)
+        flows.attribute_by_version(
+            flows.parquet_files(spark, folder, events.schema),
+            rules,
+            lambda stored, base=base: RuleSet(base.name, stored, base.keys, base.outputs, True),
+            base.table.schema,
+            "event_type",
+            "ts",
+            store,
+            checkpoint,
+        )
+    return flows.versioned_rows(spark, store).groupBy("channel_detail", "action_type", "version").agg(
+        F.count(F.lit(1)).alias("events")
+    )

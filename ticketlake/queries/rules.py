@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ticketlake import dims
@@ -50,6 +51,25 @@ def unknown_audit(spark, sf):
     return dims.price_label(spark).audit(lines, {"label": "label"})
 
 
+_AUDITED_SQL = f"""
+with l as (select {pick_sql(SEEN_LABELS, 'l_partkey')} as label, l_quantity from lineitem)
+select 'price_label' as ruleset, l.label, count(*) as rows, cast(sum(l_quantity) as bigint) as quantity,
+  (select count(*) from l join {PRICE_SQL} on l.label = p.label) as priced
+from l where l.label not in {in_sql(ALL_PRICE_LABELS)} group by l.label"""
+
+
+@query("audited_lookup", _AUDITED_SQL)
+def audited_lookup(spark, sf):
+    """Lookup and audit in one pass over the facts: the audit is what the pass has counted."""
+    lines = table(spark, sf, "lineitem").select(pick(SEEN_LABELS, F.col("l_partkey")).alias("label"), "l_quantity")
+    rows, audit = dims.price_label(spark).audited(lines, {"label": "label"})
+    sums = rows.groupBy("label").agg(
+        F.sum("l_quantity").cast("long").alias("quantity"), F.count("price").alias("known")
+    )
+    total = F.sum("known").over(W.partitionBy()).alias("priced")  # one row per label
+    return audit.join(sums.select("label", "quantity", total), "label")
+
+
 _COMPOSITE = [
     ("1-URGENT", "F", "急", "完"),
     ("1-URGENT", "O", "急", "开"),
