@@ -82,13 +82,21 @@ def test_breakdowns(sales):
 
 
 def test_session_daily(sales):
-    with pytest.raises(Exception, match="no column for channel group"):
-        daily.session_daily(sales, DAY, ["自营", "分销"]).collect()
-    wide = daily.session_daily(sales, DAY, ["自营", "分销", "票务网站", "NA"])
+    # Two groups are listed, the others are found: 票务网站 and the unknown one.
+    wide = daily.session_daily(sales, DAY, ["自营", "分销"])
     assert got(wide, "project", "tickets_票务网站", "tickets_NA") == {("p1", "", ""), ("p2", "", ""), ("p2", "3", "4")}
     assert got(wide, "project", "weekday", "tickets_自营", "revenue_自营", "tickets_分销") == {
         ("p1", "周四", "2", "200", ""), ("p2", "周四", "2", None, ""), ("p1", "周五", "5", "70", "2"), ("p2", "周五", "", "", ""),
     }
+    assert [c for c in wide.columns if c.startswith("tickets_")] == ["tickets_自营", "tickets_分销", "tickets_NA", "tickets_票务网站"]
+    listed = daily.session_daily(sales, DAY, ["自营", "none"])
+    assert got(listed, "tickets_none") == {("",)}
+
+
+def test_session_daily_shares_a_column(sales):
+    wide = daily.session_daily(sales, DAY, ["自营"], most=0)
+    assert [c for c in wide.columns if c.startswith("tickets_")] == ["tickets_自营", "tickets_others"]
+    assert got(wide, "project", "weekday", "tickets_others") == {("p1", "周四", ""), ("p2", "周四", ""), ("p1", "周五", "2"), ("p2", "周五", "7")}
 
 
 def test_direct_breakdown(spark, sales):

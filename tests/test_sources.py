@@ -238,6 +238,29 @@ def test_dashboard_from_file(spark, tmp_path):
     assert got == [(100.0 + k, 6.0, 4.0, D(2023, 12, 19)) for k in range(3)]
 
 
+def test_summary_tiers_from_the_header(spark, tmp_path):
+    def sheet(name, heads, *rows):
+        put(tmp_path, name, ["title", *grid_lines([heads], 12), *grid_lines(rows, 12)])
+
+    day = "2024年03月22日 20:00:00"
+    full = {i: "v" for i in range(1, 11)}
+    sheet("one.csv", {i: "h" for i in range(1, 7)}, {**full, 2: day, 5: 7})
+    sheet("two.csv", {i: "h" for i in range(1, 9)}, {**full, 2: day, 5: 7, 7: 8})
+    sheet("three.csv", {**{i: "h" for i in range(1, 11)}, 9: "1080元 已售"}, {**full, 2: day, 5: 7, 7: 8, 9: 9})
+    grid = readers.read_grid(spark, str(tmp_path), 12)
+    for files in (None, 3):
+        found = ch.summary_rows(grid, files=files)
+        got = sorted((r["src_file"].split("/")[-1], r["price"], r["sold"]) for r in found.collect())
+        assert got == [
+            ("one.csv", 680.0, 7.0), ("three.csv", 680.0, 7.0), ("three.csv", 880.0, 8.0), ("three.csv", 1080.0, 9.0),
+            ("two.csv", 680.0, 7.0), ("two.csv", 880.0, 8.0),
+        ]
+    # A third tier without a price is not left out without a word.
+    sheet("four.csv", {i: "h" for i in range(1, 11)}, {**full, 2: day, 5: 7, 7: 8, 9: 9})
+    with pytest.raises(Exception, match="no price for tier 3 of"):
+        ch.summary_rows(readers.read_grid(spark, str(tmp_path), 12)).collect()
+
+
 def test_incremental_batch_reads_a_file_once(spark, tmp_path):
     src, store, manifest = tmp_path / "in", str(tmp_path / "store"), str(tmp_path / "manifest")
     put(src, "1.csv", ["a", "1"])

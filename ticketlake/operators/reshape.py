@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-
 def to_long(
     df: DataFrame, ids: list[str], cols: dict[str, str] | list[str], name: str, value: str
 ) -> DataFrame:
@@ -32,6 +31,26 @@ def to_wide(
     return wide.withColumnsRenamed({f"{lbl}_{k}": f"{k}_{lbl}" for lbl in labels for k in values})
 
 
+#: Columns that a pivot over found labels may make; further labels share one.
+MAX_FOUND = 200
+OTHERS = "others"
+
+
+def labels_found(df: DataFrame, name: str, first: list[str] = (), most: int = MAX_FOUND) -> tuple[list[str], bool]:
+    """Labels of a column, the given ones first, then the others by name, and whether there are too many.
+
+    The pass over the labels is bounded: no more than ``most`` of them reach the driver.
+    """
+    rest = df.filter(F.col(name).isNotNull() & ~F.col(name).isin(list(first))).select(name).distinct()
+    found = [r[0] for r in rest.orderBy(name).limit(most + 1).collect()]
+    return [*first, *found[:most]], len(found) > most
+
+
+def under_others(c: Column, labels: list[str], others: str = OTHERS) -> Column:
+    """A label that has no column of its own goes to the shared one; an unknown one stays unknown."""
+    return F.when(c.isNull() | c.isin(labels), c).otherwise(others)
+
+
 def graded_wide(
     df: DataFrame, ids: list[str], grades: list[str], attrs: dict[str, str], grade: str = "grade"
 ) -> DataFrame:

@@ -18,7 +18,7 @@ from ticketlake.functions.dates import (
     session_from,
     zh_minute,
 )
-from ticketlake.functions.nulls import is_in, not_in
+from ticketlake.functions.nulls import is_in, na_last, not_in
 from ticketlake.functions.numbers import as_count, as_number, strip_commas
 from ticketlake.functions.text import PRINTABLE, capture, split_pair
 from ticketlake.operators import position, reshape
@@ -69,11 +69,12 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
 
 
 def load_wide(parts: list[DataFrame], production: str) -> DataFrame:
-    """Final wide table: typed, with a production, a session and at least one ticket."""
+    """Final wide table in order of the orders: typed, with a production, a session and at least one ticket."""
     wide = union_all([conform(p) for p in parts])
-    return wide.withColumn("production", F.coalesce("production", F.lit(production))).filter(
+    rows = wide.withColumn("production", F.coalesce("production", F.lit(production))).filter(
         F.col("session_ts").isNotNull() & (F.col("tickets") > 0)
     )
+    return rows.orderBy(*na_last("order_ts"))
 
 
 def lits(**values) -> dict[str, Column]:
@@ -510,20 +511,23 @@ def section_report(
     )
 
 
-# Fixed values: (tier, 1-based column of its sold count, least number of columns that has it).
-SUMMARY_TIERS = [(680, 5, 0), (880, 7, 8)]
+# Tiers of the summary report in the order of its columns, and the first tier's sold column; a
+# tier takes two columns, and it is on sale once the header has a column after its sold count.
+SUMMARY_TIERS = [680.0, 880.0]
+SUMMARY_SOLD, SUMMARY_STEP = 5, 2
 SUMMARY_HEADER, SUMMARY_FIRST = 1, 2
+#: The price that stands in a header cell such as ``1080元``.
+SUMMARY_PRICE = r"(\d+)\s*元"
 
 
 def summary_rows(
-    grid: DataFrame,
-    complete: bool = True,
-    files: int | None = None,
-    tier_columns: list[tuple[int, int, int]] = SUMMARY_TIERS,
+    grid: DataFrame, complete: bool = True, files: int | None = None, tiers: list[float] = SUMMARY_TIERS
 ) -> DataFrame:
     """Summary report to one row per session and tier; rows without a session are no sessions.
 
-    A tier exists once the report is wide enough.  With ``complete`` a row with any empty cell is
+    How many tiers a report has follows from its header: the first one always, each further one if its
+    columns are there.  A tier's price is that of its header cell, else the listed one; a tier with
+    neither fails the job rather than being left out.  With ``complete`` a row with any empty cell is
     left out.
     """
     names = readers.grid_columns(grid)
@@ -531,27 +535,33 @@ def summary_rows(
     filled = F.array_max(
         F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1).otherwise(F.lit(0)))
     )
-    width = (
-        grid.filter(F.col(ORDER) == SUMMARY_HEADER).select(PART, filled.alias("_width"))
-    )
-    rows = readers.attach_to_source(readers.rows_between(grid, SUMMARY_FIRST), width, files)
+    sold_at = range(SUMMARY_SOLD, len(names) + 1, SUMMARY_STEP)
+    prices = F.array(*[as_number(F.nullif(F.regexp_extract(names[i - 1], SUMMARY_PRICE, 1), F.lit(""))) for i in sold_at])
+    header = F.struct(filled.alias("width"), prices.alias("prices"))
+    if files is None:
+        # The header reaches the rows through the chunk summary of their file.
+        at_header = F.when(F.col(ORDER) == SUMMARY_HEADER, header)
+        rows = position.scan(grid, greatest={"_header": at_header}).filter(F.col(ORDER) >= SUMMARY_FIRST)
+        rows = rows.filter(F.col("_header").isNotNull())
+    else:
+        heads = grid.filter(F.col(ORDER) == SUMMARY_HEADER).select(PART, header.alias("_header"))
+        rows = readers.attach_to_source(readers.rows_between(grid, SUMMARY_FIRST), heads, files).filter(F.col("_header").isNotNull())
+    width = F.col("_header.width")
     if complete:
-        rows = rows.filter(F.forall(F.slice(cells, F.lit(1), F.col("_width")), lambda c: c.isNotNull()))
-    tiers = F.array(
-        *[
-            F.when(
-                F.col("_width") >= least,
-                F.struct(
-                    F.lit(price).cast("double").alias("price"), as_number(names[i - 1]).alias("sold")
-                ),
-            )
-            for price, i, least in tier_columns
-        ]
-    )
+        rows = rows.filter(F.forall(F.slice(cells, F.lit(1), width), lambda c: c.isNotNull()))
+    found = []
+    for k, i in enumerate(sold_at):
+        listed = F.lit(tiers[k]).cast("double") if k < len(tiers) else F.raise_error(
+            F.concat(F.lit(f"no price for tier {k + 1} of "), PART)
+        ).cast("double")
+        price = F.coalesce(F.get("_header.prices", F.lit(k)), listed)
+        on_sale = F.lit(True) if k == 0 else width > i
+        tier = F.struct(price.alias("price"), as_number(names[i - 1]).alias("sold"))
+        found.append(F.when(on_sale, tier))
     return rows.select(
         PART,
         zh_minute(names[1]).alias("session_ts"),
-        F.inline(F.filter(tiers, lambda t: t.isNotNull())),
+        F.inline(F.filter(F.array(*found), lambda t: t.isNotNull())),
     ).filter(F.col("session_ts").isNotNull())
 
 

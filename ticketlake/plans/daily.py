@@ -15,6 +15,7 @@ from ticketlake.functions.nulls import if_else, is_in, na_last, not_in, null_saf
 from ticketlake.functions.numbers import num_text, rate_percent, rate_text
 from ticketlake.operators import reshape
 from ticketlake.operators.rules import RuleSet
+from ticketlake.session import written
 
 from .channels import BULK, PLATFORM, SELF
 
@@ -178,42 +179,48 @@ def platform_breakdown(sales: DataFrame, day: str | None) -> DataFrame:
     return sums.orderBy(*na_last("-action_date", "-revenue"))
 
 
-def session_daily(sales: DataFrame, day: str | None, channels: list[str]) -> DataFrame:
+def session_daily(
+    sales: DataFrame, day: str | None, channels: list[str] = (), most: int = reshape.MAX_FOUND
+) -> DataFrame:
     """Sales per session and weekday, one pair of columns per channel group; bulk counts as direct.
 
-    A session without sales of a group has empty text there, an unknown sum is unknown.  Sales of a
-    group that ``channels`` lacks are no silent loss: the job fails and names the group.  An unknown
-    channel is the group ``NA``.
+    Groups of ``channels`` have columns in any case and come first; the others are found in the data.  An
+    unknown channel is the group ``NA``; groups beyond ``most`` found ones share the columns ``others``.  A
+    session without sales of a group has empty text there, an unknown sum is unknown.
     """
+    keys = ["session_ts", "project"]
     rows = sales.filter(day_window("order_ts", day)) if day else sales
     grouped = rows.withColumn("channel_group", channel_group())
     merged = if_else(F.col("channel_group") == BULK, F.lit(SELF), F.col("channel_group"))
     sums = (
-        grouped.withColumn("channel_group", merged)
-        .groupBy("session_ts", "project", "channel_group")
+        grouped.withColumn("channel_group", F.coalesce(merged, F.lit("NA")))
+        .groupBy(*keys, "channel_group")
         .agg(*totals(strict_sum, strict_sum))
         .filter("tickets <> 0")
-        .withColumns(
-            {"tickets": num_text("tickets"), "revenue": num_text("revenue"), "weekday": zh_weekday("session_ts")}
-        )
-    )
-    group = F.coalesce("channel_group", F.lit("NA"))
-    known = F.when(group.isin(channels), group).otherwise(
-        F.raise_error(F.concat(F.lit("no column for channel group "), group))
     )
+    # Read for its labels and for the pivot.
+    sums = written(sums, "session-sums")
+    labels, more = reshape.labels_found(sums, "channel_group", list(channels), most)
+    if more:
+        shared = reshape.under_others(F.col("channel_group"), labels)
+        sums = sums.groupBy(*keys, shared.alias("channel_group")).agg(
+            strict_sum("tickets").alias("tickets"), strict_sum("revenue").alias("revenue")
+        )
+        labels = [*labels, reshape.OTHERS]
+    texts = {"tickets": num_text("tickets"), "revenue": num_text("revenue"), "weekday": zh_weekday("session_ts")}
     wide = reshape.to_wide(
-        sums.withColumn("channel_group", known),
-        ["session_ts", "project", "weekday"],
+        sums.withColumns(texts),
+        [*keys, "weekday"],
         "channel_group",
-        channels,
+        labels,
         {"tickets": F.first("tickets"), "revenue": F.first("revenue"), "hit": F.first(F.lit(True))},
     )
     cells = {
         f"{m}_{c}": F.when(F.col(f"`hit_{c}`").isNull(), F.lit("")).otherwise(F.col(f"`{m}_{c}`"))
-        for c in channels
+        for c in labels
         for m in ("tickets", "revenue")
     }
-    return wide.withColumns(cells).drop(*[f"hit_{c}" for c in channels]).orderBy("session_ts")
+    return wide.withColumns(cells).drop(*[f"hit_{c}" for c in labels]).orderBy("session_ts")
 
 
 def campaign_performance(sales: DataFrame, before: str, reach: RuleSet) -> DataFrame:

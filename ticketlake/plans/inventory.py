@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ticketlake import dims
 from ticketlake.functions.dates import parse_ts, session_from
-from ticketlake.functions.nulls import null_safe_on
+from ticketlake.functions.nulls import na_last, null_safe_on
 from ticketlake.functions.numbers import as_number
 from ticketlake.functions.text import capture
 from ticketlake.operators import reshape
@@ -35,6 +35,11 @@ def sheet_session(c: str | Column) -> Column:
     return session_from(c, SHEET_SESSION)
 
 
+def tier_order() -> list[Column]:
+    """Sessions upwards, their tiers downwards."""
+    return na_last("session_ts", "-tier")
+
+
 def tier_col(c) -> Column:
     return as_number(c).cast("decimal(18,4)")
 
@@ -129,13 +134,13 @@ def combine(own: DataFrame, joined: list[DataFrame], separate: list[DataFrame])
 
 
 def by_tier(rows: DataFrame, cancelled: DataFrame | None = None) -> DataFrame:
-    """Seats per (session, tier) and state, without cancelled sessions."""
+    """Seats per (session, tier) and state, without cancelled sessions, in the report's order."""
     sums = rows.groupBy("session_ts", "tier").agg(
         *[F.sum(s).cast("long").alias(s) for s in STATES]
     )
-    if cancelled is None:
-        return sums
-    return sums.join(small_side(cancelled), "session_ts", "left_anti")
+    if cancelled is not None:
+        sums = sums.join(small_side(cancelled), "session_ts", "left_anti")
+    return sums.orderBy(*tier_order())
 
 
 def reconcile(tiers: DataFrame, capacity: RuleSet | DataFrame, strict: bool = False) -> DataFrame:
@@ -151,11 +156,12 @@ def reconcile(tiers: DataFrame, capacity: RuleSet | DataFrame, strict: bool = Fa
     others = [s for s in STATES if s != "venue_available"]
     taken = sum((F.col(s) for s in others[1:]), F.col(others[0]))
     seats = require(F.col("seats").cast("double"), "capacity").cast("long") if strict else F.col("seats")
-    return seated.withColumn("venue_available", (seats - taken).cast("long"))
+    return seated.withColumn("venue_available", (seats - taken).cast("long")).orderBy(*tier_order())
 
 
 def by_session(tiers: DataFrame) -> DataFrame:
-    return tiers.groupBy("session_ts").agg(*[F.sum(s).alias(s) for s in STATES])
+    sums = tiers.groupBy("session_ts").agg(*[F.sum(s).alias(s) for s in STATES])
+    return sums.orderBy(*na_last("session_ts"))
 
 
 def only_sessions(df: DataFrame, sessions: list[str]) -> DataFrame:
