@@ -17,7 +17,7 @@ from ticketlake.operators import reshape
 from ticketlake.operators.rules import RuleSet
 from ticketlake.session import written
 
-from .channels import BULK, PLATFORM, SELF
+from .channels import BULK, PLATFORM, SELF, union_all
 
 DISTRIBUTION = "分销"
 NATURAL, ARTICLE = "自然销售", "推文"
@@ -295,6 +295,11 @@ def rollup_sessions(sales: DataFrame) -> DataFrame:
     )
 
 
+def all_sold(parts: list[DataFrame]) -> DataFrame:
+    """Sales of all systems and venue reports as one table for :func:`sell_through`."""
+    return union_all(parts)
+
+
 def sell_through(requests: DataFrame, sold: DataFrame, capacity: RuleSet | None = None) -> DataFrame:
     """Tickets, revenue and seats for requested (production, session, tier) rows.
 

@@ -229,9 +229,9 @@ def content_all_weeks(items: DataFrame) -> DataFrame:
     return items.groupBy("platform", "account", week).agg(*content_totals())
 
 
-def merge_content(parts: DataFrame) -> DataFrame:
-    """Sum partial content totals of the same account."""
-    return parts.groupBy("platform", "account").agg(
+def merge_content(parts: DataFrame, *more: str) -> DataFrame:
+    """Sum partial content totals of the same account (and of further keys, such as the week)."""
+    return parts.groupBy("platform", "account", *more).agg(
         *[strict_sum(c).alias(c) for c in ("items", "views", "interactions", "shares")]
     )
 

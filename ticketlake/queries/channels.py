@@ -64,7 +64,7 @@ def lines(spark, sf) -> DataFrame:
     select '分销-报单' as channel_type, '秀动' as channel_detail, strftime(session_ts, {TS}) as session_ts,
       face_price, {DIGEST_SQL} from x group by x.session_ts, face_price""",
 )
-def channel_show_orders(spark, sf):
+def channel_show_orders(spark, sf, rows: bool = False):
     raw = lines(spark, sf).select(
         F.when(F.col("l_linenumber") == 7, "foo")
         .otherwise(F.concat(day_text("l_shipdate"), F.lit(" 周六 19:30")))
@@ -72,7 +72,8 @@ def channel_show_orders(spark, sf):
         text(F.floor("l_extendedprice")).alias("票品"),
         text(F.col("l_quantity").cast("int")).alias("数量"),
     )
-    return digest(ch.show_orders("秀动")(raw))
+    done = ch.show_orders("秀动")(raw)
+    return done if rows else digest(done)
 
 
 @query(
@@ -86,7 +87,7 @@ def channel_show_orders(spark, sf):
       cast(sum(cast(net_revenue as {MONEY})) as double) as revenue
     from x left join {PRICE_SQL} on a = p.label left join {PACK_SQL} on b = k.label group by x.session_ts, price""",
 )
-def channel_pickup_orders(spark, sf):
+def channel_pickup_orders(spark, sf, rows: bool = False):
     raw = lines(spark, sf).select(
         F.concat(F.lit("【北京】"), day_text("l_shipdate", "MM-dd"), F.lit(" 14:30（周六）")).alias("场次名称"),
         pick(SEEN_LABELS, F.col("l_partkey")).alias("套餐名称"),
@@ -96,7 +97,8 @@ def channel_pickup_orders(spark, sf):
         F.lit("n").alias("订单联系人"),
         F.lit("p").alias("手机"),
     )
-    return digest(ch.pickup_orders(raw))
+    done = ch.pickup_orders(raw)
+    return done if rows else digest(done)
 
 
 _SPEC_SESSIONS = [x for x, _ in dims.SESSION_LABELS] + ["zz"]
@@ -117,7 +119,7 @@ _SPEC_SESSIONS = [x for x, _ in dims.SESSION_LABELS] + ["zz"]
     from x left join d on a = d.label left join {PRICE_SQL} on b = p.label left join {PACK_SQL} on b = k.label
     group by session, price""",
 )
-def channel_spec_orders(spark, sf):
+def channel_spec_orders(spark, sf, rows: bool = False):
     spec = F.concat_ws(
         "-", pick(_SPEC_SESSIONS, F.col("l_partkey")), pick(ALL_PACK_LABELS, F.col("l_suppkey"))
     )
@@ -130,7 +132,8 @@ def channel_spec_orders(spark, sf):
         F.lit("p").alias("收货人手机号/提货人手机号"),
         F.lit("a").alias("详细收货地址/提货地址"),
     )
-    return digest(ch.spec_orders(raw))
+    done = ch.spec_orders(raw)
+    return done if rows else digest(done)
 
 
 # The events as one report file per month whose blank cells repeat the cell above.
@@ -162,7 +165,7 @@ def _filled(n: int, value: str) -> str:
     select strftime(order_ts, {TS}) as order_ts, strftime(session_ts, {TS}) as session_ts, face_price, {DIGEST_SQL}
     from x group by x.order_ts, x.session_ts, face_price""",
 )
-def channel_dotted_orders(spark, sf):
+def channel_dotted_orders(spark, sf, detail: str = "247-北京", rows: bool = False):
     raw = _sheet(spark, sf).select(
         PART,
         ORDER,
@@ -175,7 +178,8 @@ def channel_dotted_orders(spark, sf):
         F.lit("p").alias("Phone"),
         F.lit("a").alias("Full address"),
     )
-    return digest(ch.dotted_orders(raw, "247-北京"), "order_ts", "session_ts", "face_price")
+    done = ch.dotted_orders(raw, detail)
+    return done if rows else digest(done, "order_ts", "session_ts", "face_price")
 
 
 _LIVE = [x for x, _ in dims.LIVE_SESSIONS] + ["2023.1.1 foo"]
@@ -193,7 +197,7 @@ _LIVE_CHANNELS = [("北京站【直播间】", "抖音-直播间"), ("北京站"
     from x left join {values_sql(dims.LIVE_SESSIONS, 'v', 'label, session')} on x.label = v.label
     group by 2, 3, x.face_price""",
 )
-def channel_merged_cell_orders(spark, sf):
+def channel_merged_cell_orders(spark, sf, rows: bool = False):
     raw = _sheet(spark, sf).select(
         PART,
         ORDER,
@@ -206,7 +210,8 @@ def channel_merged_cell_orders(spark, sf):
         F.lit("a").alias("收件人地址"),
     )
     channels = dims.text_map(spark, "live_channel", _LIVE_CHANNELS)
-    return digest(ch.merged_cell_orders(raw, channels))
+    done = ch.merged_cell_orders(raw, channels)
+    return done if rows else digest(done)
 
 
 _WORDS = ["单人票3张", "单人票2张", "单人票", "双人票"]
@@ -223,7 +228,7 @@ _WORDS = ["单人票3张", "单人票2张", "单人票", "双人票"]
     select '分销-报单' as channel_type, '父母邦-北京' as channel_detail, strftime(session_ts, {TS}) as session_ts,
       face_price, {DIGEST_SQL} from x group by x.session_ts, face_price""",
 )
-def channel_worded_orders(spark, sf):
+def channel_worded_orders(spark, sf, rows: bool = False):
     goods = F.concat(
         F.lit("票种："), text(F.floor("l_extendedprice")), F.lit("档"), pick(_WORDS, F.col("l_partkey")),
         F.lit("，使用时间："), day_text("l_shipdate"), F.lit(" 14:30"),
@@ -234,7 +239,8 @@ def channel_worded_orders(spark, sf):
         cents("l_extendedprice").alias("结算价小计"),
         F.lit("n").alias("用户姓名"),
     )
-    return digest(ch.worded_orders(raw))
+    done = ch.worded_orders(raw)
+    return done if rows else digest(done)
 
 
 _SHEETS = list(dims.STANDARD_CHANNELS) + ["zz"]
@@ -257,7 +263,7 @@ _RATES = {k: (n, 1.0 if k != "qm" else 0.9) for k, (n, _) in dims.STANDARD_CHANN
     select '分销-报单' as channel_type, channel_detail, session_ts, face_price, {DIGEST_SQL}
     from x group by channel_detail, session_ts, face_price""",
 )
-def channel_standard_orders(spark, sf):
+def channel_standard_orders(spark, sf, rows: bool = False):
     raw = lines(spark, sf).select(
         pick(_SHEETS, F.col("l_orderkey")).alias("source_key"),
         pick(_STD_LABELS, F.col("l_partkey")).alias("场次"),
@@ -268,7 +274,8 @@ def channel_standard_orders(spark, sf):
         F.lit("n").alias("姓名"),
         F.lit("p").alias("手机号"),
     )
-    return digest(ch.standard_orders(raw, dims.channel_config(spark, _RATES)))
+    done = ch.standard_orders(raw, dims.channel_config(spark, _RATES))
+    return done if rows else digest(done)
 
 
 # ------------------------------------------------------------------------------ platform orders
@@ -304,9 +311,9 @@ def _platform_raw(spark, sf) -> DataFrame:
       strftime(order_ts, {TS}) as order_ts, cast(face_price as double) as face_price, {DIGEST_SQL}
     from x group by x.session_ts, x.order_ts, x.face_price""",
 )
-def channel_platform_orders(spark, sf):
+def channel_platform_orders(spark, sf, rows: bool = False):
     done = ch.platform_orders(_platform_raw(spark, sf), "BUILDING")
-    return digest(done, *KEYS, "order_ts")
+    return done if rows else digest(done, *KEYS, "order_ts")
 
 
 _CITIES = [("北京", "NTN北京"), ("深圳", "NTN深圳"), ("上海", "NTN上海")]
@@ -320,10 +327,10 @@ _CITIES = [("北京", "NTN北京"), ("深圳", "NTN深圳"), ("上海", "NTN上
     select 'NTN' || city as production, venue, strftime(session_ts, {TS}) as session_ts, {DIGEST_SQL}
     from x where city <> '广州' group by x.city, x.venue, x.session_ts""",
 )
-def channel_tour_platform_orders(spark, sf):
+def channel_tour_platform_orders(spark, sf, rows: bool = False):
     cities = dims.text_map(spark, "city", _CITIES)
     done = ch.tour_platform_orders(_platform_raw(spark, sf), cities)
-    return digest(done, "production", "venue", "session_ts")
+    return done if rows else digest(done, "production", "venue", "session_ts")
 
 
 # ----------------------------------------------------------------------------- reports with grids
@@ -383,9 +390,10 @@ def _preamble_grid(spark, sf) -> DataFrame:
     from x left join {PRICE_SQL} on x.label = p.label where op is null or op not in ('admin', 'o1')
     group by x.session_ts, price""",
 )
-def channel_preamble_report(spark, sf):
+def channel_preamble_report(spark, sf, rows: bool = False):
     raw = ch.parse_preamble_report(_preamble_grid(spark, sf))
-    return digest(ch.preamble_report(raw, ["admin", "o1"]))
+    done = ch.preamble_report(raw, ["admin", "o1"])
+    return done if rows else digest(done)
 
 
 # Block reports: one file per month and day of shipping, one block per line number (session and
@@ -478,11 +486,11 @@ def _block_sql() -> str:
 
 
 @query("channel_block_report", _block_sql())
-def channel_block_report(spark, sf):
+def channel_block_report(spark, sf, rows: bool = False):
     # Reports are files: the derived ones are written once, and the pipeline starts from them.
     grid = written(_block_grid(spark, sf), "block-reports")
     done = ch.block_report(grid, "深圳MA", "剧院", "演出", ["自有"])
-    return digest(done, "channel_type", "channel_detail", "order_ts", "session_ts", "face_price")
+    return done if rows else digest(done, "channel_type", "channel_detail", "order_ts", "session_ts", "face_price")
 
 
 # Wide venue report: one row per ship day, grades from the size class.
@@ -496,7 +504,7 @@ def channel_block_report(spark, sf):
       cast(sum(net_revenue) as double) as revenue, count(*) as lines
     from x group by x.day, x.session_ts, g""",
 )
-def channel_graded_report(spark, sf):
+def channel_graded_report(spark, sf, rows: bool = False):
     cls = F.pmod(F.col("l_partkey"), F.lit(4))
     cells = []
     for i, grade in enumerate(ch.GRADES):
@@ -518,7 +526,7 @@ def channel_graded_report(spark, sf):
         )
     )
     done = ch.graded_report(raw, "剧院", "NTN", r"场次汇总表(\d{2}-\d{2})")
-    return digest(done, "order_ts", "session_ts", "face_price")
+    return done if rows else digest(done, "order_ts", "session_ts", "face_price")
 
 
 # Section report: one file per day of the year, one section per year, four tier rows and a total.
@@ -564,9 +572,9 @@ def _section_grid(spark, sf) -> DataFrame:
       cast(sum(net_revenue) as double) as revenue, count(*) as lines
     from x group by x.day, x.session_ts, x.face_price""",
 )
-def channel_section_report(spark, sf):
+def channel_section_report(spark, sf, rows: bool = False):
     done = ch.section_report(_section_grid(spark, sf), "剧院", "NTN", r"艺术剧院(\d{2}-\d{2})")
-    return digest(done, "order_ts", "session_ts", "face_price")
+    return done if rows else digest(done, "order_ts", "session_ts", "face_price")
 
 
 # Summary report: one file per ship day, five session rows; the second tier is on sale on odd days.
@@ -583,7 +591,7 @@ def channel_section_report(spark, sf):
       cast(sum(tickets) as bigint) as tickets, cast(sum(tickets * face_price) as double) as revenue, count(*) as lines
     from x group by 1, x.session_ts, x.face_price""",
 )
-def channel_summary_report(spark, sf):
+def channel_summary_report(spark, sf, rows: bool = False):
     sums = (
         lines(spark, sf)
         .groupBy("l_shipdate", F.col("l_linenumber").alias("k"))
@@ -598,7 +606,7 @@ def channel_summary_report(spark, sf):
         F.when(F.col("k") != 4, F.col("n")).alias("n"), F.col("m").alias("m"),
     )
     heads = sums.select("l_shipdate").distinct().select("l_shipdate", F.lit(1).cast("long").alias(ORDER))
-    rows = body.unionByName(heads, allowMissingColumns=True).withColumn(
+    cells_of = body.unionByName(heads, allowMissingColumns=True).withColumn(
         PART, F.concat(F.lit("x/上音"), day_text("l_shipdate"), F.lit("_"), F.date_format("l_shipdate", "MM-dd"), F.lit(".csv"))
     )
     wide = F.dayofmonth("l_shipdate") % 2 == 1
@@ -610,8 +618,8 @@ def channel_summary_report(spark, sf):
         7: F.when(wide, F.when(head, "h7").otherwise(text("m"))),
         8: F.when(wide, F.when(head, "h8").otherwise("v")),
     }
-    done = ch.summary_report(cell_grid(rows, 10, cells), "剧院", "NTN", r"_(\d{2}-\d{2})\.csv")
-    return digest(done, "order_ts", "session_ts", "face_price")
+    done = ch.summary_report(cell_grid(cells_of, 10, cells), "剧院", "NTN", r"_(\d{2}-\d{2})\.csv")
+    return done if rows else digest(done, "order_ts", "session_ts", "face_price")
 
 
 # ------------------------------------------------------------------------ direct and distributor
@@ -627,7 +635,9 @@ _DIRECT_RULES = [
 _SINCE = "1995-06-01 00:00:00"
 
 
-def _direct_raw(spark, sf) -> DataFrame:
+def _direct_raw(spark, sf, start: Column | None = None) -> DataFrame:
+    """Direct orders; ``start`` is another text of the session, from the line's keys."""
+    start = F.concat(day_text("l_shipdate"), F.lit(" 19:30")) if start is None else start
     return (
         lines(spark, sf)
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -636,7 +646,7 @@ def _direct_raw(spark, sf) -> DataFrame:
             text("l_orderkey").alias("订单号"),
             F.col("p_type").alias("项目"),
             F.col("p_brand").alias("场馆"),
-            F.concat(day_text("l_shipdate"), F.lit(" 19:30")).alias("开始时间"),
+            start.alias("开始时间"),
             day_text("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("下单时间"),
             F.when(F.col("l_returnflag") == "R", "-").otherwise(F.col("o_orderpriority")).alias("分销码"),
             cents("p_retailprice").alias("票价"),
@@ -700,13 +710,9 @@ _DIRECT_SRC = f"""src as (
 _DIRECT_KEYS = ["production", "channel_type", "channel_detail", "action_date", "action_type"]
 
 
-def _direct_orders(spark, sf):
-    return sales_plan.clean_direct_orders(_direct_raw(spark, sf), _patches(spark, sf), "STANDARD")
-
-
-def _tagged_since(spark, sf):
+def _tagged_since(spark, sf, start: Column | None = None):
     """Cleaned direct orders with the half-price promotion moved into the data's time range."""
-    clean = _direct_orders(spark, sf)
+    clean = sales_plan.clean_direct_orders(_direct_raw(spark, sf, start), _patches(spark, sf), "STANDARD")
     return sales_plan.half_price_tag(clean, since="2000-01-01")
 
 
@@ -746,7 +752,8 @@ _DIST_TICKETS = ["原价980元", "580两张", "880三张套票", "380", "foo"]
 _DIST_PATCHES = [("ECONOMY", None, "KH"), ("SMALL", ["5-LOW", "2-HIGH"], "KH")]
 
 
-def _distributor_raw(spark, sf) -> DataFrame:
+def _distributor_raw(spark, sf, start: Column | None = None) -> DataFrame:
+    start = day_text("l_shipdate") if start is None else start
     return (
         lines(spark, sf)
         .join(table(spark, sf, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -754,7 +761,7 @@ def _distributor_raw(spark, sf) -> DataFrame:
         .select(
             F.col("p_type").alias("项目"),
             F.when(F.col("l_linenumber") == 7, "test").otherwise(F.col("p_brand")).alias("场地"),
-            day_text("l_shipdate").alias("开始时间"),
+            start.alias("开始时间"),
             day_text("o_orderdate").alias("下单时间"),
             F.col("o_orderpriority").alias("分销码"),
             pick(_DIST_TICKETS, F.col("l_suppkey")).alias("票种"),
@@ -796,29 +803,43 @@ def distributor_sales(spark, sf):
     return digest(done, "channel_type", "channel_detail", "face_price")
 
 
+# Sessions of the calendar, the test session, one outside the calendar, and one that cannot be read.
+_MARKET_SESSIONS = [
+    *sorted({session[:16] for _, session, *_ in dims.CALENDAR}), dims.TEST_SESSION[0][:16], "2023-01-01 19:30", "soon",
+]
+_CALENDAR_SQL = values_sql(dims.CALENDAR, "cal", "production, session, project, venue")
+
+
 @query(
     "market_sales",
     f"""with {_DIRECT_SRC}, merged as (
-      select production, order_ts, channel_type, action_date, 1 as tickets from rated where production <> 'test'
+      select production, order_ts, channel_type, action_date, 1 as tickets, l_orderkey from rated where production <> 'test'
       union all
       select case p_type when 'ECONOMY' then 'NTN' when 'SMALL' then 'MOR' when 'LARGE' then 'MA'
         when 'MEDIUM' then 'MA' else '未知' end, o_orderdate,
         case case when p_type = 'ECONOMY' or (p_type = 'SMALL' and o_orderpriority in ('5-LOW', '2-HIGH')) then 'KH'
           else o_orderpriority end when '1-URGENT' then '大客户' when '2-HIGH' then '分销-系统' when '3-MEDIUM' then '分销-系统'
           when 'KH' then '自营' else '' end, '',
-        case {pick_sql(_DIST_TICKETS, 'l_suppkey')} when '580两张' then 2 when '880三张套票' then 3 when 'foo' then 0 else 1 end
+        case {pick_sql(_DIST_TICKETS, 'l_suppkey')} when '580两张' then 2 when '880三张套票' then 3 when 'foo' then 0 else 1 end,
+        l_orderkey
       from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
-      where l_linenumber <> 7 and p_type not in ('PROMO', 'STANDARD'))
-    select production, '' as project, '' as venue, strftime(order_ts, '%Y-%m') as month, channel_type, action_date,
-      count(*) as lines, cast(sum(tickets) as bigint) as tickets from merged group by 1, 4, 5, 6""",
+      where l_linenumber <> 7 and p_type not in ('PROMO', 'STANDARD')),
+    m as (select *, {pick_sql(_MARKET_SESSIONS, 'l_orderkey')} || ':00' as session from merged),
+    placed as (select m.*, case when m.session = {q(dims.TEST_SESSION[0])} then {q(dims.TEST_SESSION[1])} else coalesce(project, '') end as project,
+        case when m.session = {q(dims.TEST_SESSION[0])} then {q(dims.TEST_SESSION[2])} else coalesce(venue, '') end as venue
+      from m left join {_CALENDAR_SQL} on m.production = cal.production and m.session = cal.session)
+    select production, project, venue, strftime(order_ts, '%Y-%m') as month, channel_type, action_date,
+      count(*) as lines, cast(sum(tickets) as bigint) as tickets from placed group by 1, 2, 3, 4, 5, 6""",
 )
 def market_sales(spark, sf):
+    """Both systems with project and venue from the calendar."""
     productions = dims.text_map(spark, "production", _PROJECTS, sales_plan.UNKNOWN)
+    start = pick(_MARKET_SESSIONS, F.col("l_orderkey"))
     direct = sales_plan.direct_sales(
-        _tagged_since(spark, sf), productions, dims.referral(spark, _DIRECT_RULES), _SINCE
+        _tagged_since(spark, sf, start), productions, dims.referral(spark, _DIRECT_RULES), _SINCE
     )
     distributor = sales_plan.distributor_sales(
-        _distributor_raw(spark, sf),
+        _distributor_raw(spark, sf, start),
         productions,
         dims.text_map(spark, "account", _ACCOUNTS, sales_plan.UNKNOWN),
         ["PROMO", "STANDARD"],

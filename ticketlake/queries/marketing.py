@@ -371,9 +371,9 @@ def _tags(tokens: dict[int, Column], count: int) -> Column:
     return F.concat(*parts)
 
 
-def _dashboard_lines(spark, sf) -> DataFrame:
+def _dashboard_lines(spark, sf, where: str = "true", graphic: bool = False) -> DataFrame:
     """One saved dashboard per event type: per event a marker line, a spacer and a figure line."""
-    events = table(spark, sf, "events").select(
+    events = table(spark, sf, "events").filter(where).select(
         F.col("event_type").alias(PART), F.col("event_id").alias(ORDER), "ts", "value"
     )
     dense = position.densify(events)
@@ -383,8 +383,10 @@ def _dashboard_lines(spark, sf) -> DataFrame:
     )
     labels = ["观看量", "弹幕数", "点赞量", "收藏数", "评论数", "分享数", "x", "y"]
     views = F.when(F.floor("value") % 3 == 0, F.concat(F.lit("1.5"), F.lit("万"))).otherwise(n)
+    if graphic:
+        labels, views = ["观看量", "点赞量", "评论数", "收藏数", "分享数"], n
     figures: dict[int, Column] = {}
-    for (a, b), label in zip(weekly.VIDEO_PAIRS, labels):
+    for (a, b), label in zip(weekly.GRAPHIC_PAIRS if graphic else weekly.VIDEO_PAIRS, labels):
         figures[a] = F.lit(label)
         figures[b] = views if label == "观看量" else n
     marker = F.concat(F.lit("info-text"), head)
@@ -423,6 +425,28 @@ def dashboard_posts(spark, sf):
     )
 
 
+@query(
+    "dashboard_all_posts",
+    """with x as (select event_type as account, date_trunc('week', ts) as week, event_id % 2 = 0 as graphic,
+      cast(floor(value) as bigint) as v from events)
+    select '小红书' as platform, account, strftime(week, '%Y-%m-%d') as week, count(*) as items,
+      cast(sum(case when not graphic and v % 3 = 0 then 15000 else v % 40 end) as double) as views,
+      cast(sum(case when graphic then 3 else 4 end * (v % 40)) as double) as interactions, cast(sum(v % 40) as double) as shares
+    from x group by 2, x.week""",
+)
+def dashboard_all_posts(spark, sf):
+    """Graphic and video dashboards of every account, each summed by week, then merged."""
+    account = F.col(PART)
+    graphic = written(_dashboard_lines(spark, sf, "event_id % 2 = 0", graphic=True), "graphic-dashboard")
+    video = written(_dashboard_lines(spark, sf, "event_id % 2 <> 0"), "video-dashboard")
+    parts = [
+        weekly.content_all_weeks(weekly.dashboard_posts(graphic, "小红书", account)),
+        weekly.content_all_weeks(weekly.dashboard_posts(video, "小红书", account, video=True)),
+    ]
+    merged = weekly.merge_content(parts[0].unionByName(parts[1]), "week")
+    return out(merged.withColumn("items", F.col("items").cast("long")))
+
+
 @query(
     "html_token_pairs",
     """with t as (select page_id, regexp_split_to_array(html, '<[^>]*>') as tok from pages)

@@ -389,6 +389,16 @@ def inventory_sheets(spark, sf):
 )
 def header_discovery(spark, sf):
     """Reports whose sold and income columns move from file to file."""
+    done = venue_sales(spark, sf)
+    return out(
+        done.select(
+            "production", "session_ts", "face_price", F.col("tickets").cast("long").alias("tickets"),
+            F.col("net_revenue").alias("revenue"),
+        )
+    )
+
+
+def venue_sales(spark, sf):
     g = F.pmod(F.col("l_partkey"), F.lit(4))
     sums = (
         table(spark, sf, "lineitem")
@@ -429,13 +439,7 @@ def header_discovery(spark, sf):
         {1: F.col("label"), 3: F.when(odd, F.col("n")), 5: F.when(~odd, F.col("n")),
          4: F.when(odd, F.col("a")), 6: F.when(~odd, F.col("a"))},
     )
-    done = inventory.venue_grid_sales(written(grid, "venue-grid"), "MA", ch.SECTION_TIERS)
-    return out(
-        done.select(
-            "production", "session_ts", "face_price", F.col("tickets").cast("long").alias("tickets"),
-            F.col("net_revenue").alias("revenue"),
-        )
-    )
+    return inventory.venue_grid_sales(written(grid, "venue-grid"), "MA", ch.SECTION_TIERS)
 
 
 @query(
