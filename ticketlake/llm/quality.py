@@ -4,7 +4,7 @@ Each text gets counts (words, code points, symbols, repeated lines and words).
 from them are whole numbers per thousand.  For every language and source a quantile sketch of each
 measure is kept: a histogram whose cells are exact below 128 and 64 to an octave above, so that
 sketches merge by adding counts, in any order, with a relative error below 1/64.  The thresholds are
-read off the sketches, and one join with them filters the documents.
+read off the sketches' medians and upper percentiles, and one join with them filters the documents.
 
 Groups with fewer than ``MIN_GROUP`` documents use the merged sketch of their language, languages with
 fewer the merged sketch of all documents.
@@ -33,17 +33,16 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 COUNTS = (
     "n_words bigint, word_chars bigint, n_symbols bigint, n_lines bigint, n_dup_lines bigint, n_repeat_words bigint"
 )
-#: measure: (numerator, denominator, least distance of its threshold from the median), per thousand;
-#: four more lines keep one repeated line of a short text from counting as much
+#: measure: (numerator, denominator, upper percentile, multiple, least distance), per thousand; four more lines
+#: keep one repeated line of a short text from counting as much.  A value may lie the multiple of the distance
+#: between median and upper percentile above that percentile.  Only where that distance is zero, so that the
+#: sketch says nothing about the spread, the least distance takes its place.
 MEASURES = {
-    "symbol_rate": ("n_symbols", "n_words", 150),
-    "word_length": ("word_chars", "n_words", 4000),
-    "line_repeat": ("n_dup_lines", "n_lines + 4", 300),
-    "word_repeat": ("n_repeat_words", "n_words", 250),
+    "symbol_rate": ("n_symbols", "n_words", 90, 5, 150),
+    "word_length": ("word_chars", "n_words", 75, 10, 1000),
+    "line_repeat": ("n_dup_lines", "n_lines + 4", 95, 4, 300),
+    "word_repeat": ("n_repeat_words", "n_words", 90, 6, 250),
 }
-#: Spreads (median minus lower quartile) that a value may lie above the median.  The lower half is
-#: used since junk sits in the upper one.
-SPREADS = 8
 
 
 def count_texts(texts: pa.Array) -> list[np.ndarray]:
@@ -99,7 +98,7 @@ def measure(docs: DataFrame) -> DataFrame:
 def rates() -> dict[str, Column]:
     return {
         name: F.expr(f"coalesce((1000 * {top}) div nullif({under}, 0), 0)")  # no words: 0
-        for name, (top, under, _) in MEASURES.items()
+        for name, (top, under, *_) in MEASURES.items()
     }
 
 
@@ -121,12 +120,18 @@ def sketch(counted: DataFrame) -> DataFrame:
     )
 
 
+def of_measure(place: int) -> Column:
+    """A parameter of the row's measure."""
+    return F.create_map(*[F.lit(x) for k, v in MEASURES.items() for x in (k, v[place])])[F.col("measure")].cast("bigint")
+
+
 def quantiles(cells: DataFrame, keys: list[str]) -> DataFrame:
-    """Documents, lower quartile and median of each merged sketch."""
+    """Documents, median and upper percentile of each merged sketch."""
     merged = cells.groupBy(*keys, "measure", "cell").agg(F.sum("n").alias("n"))
     # One sketch has a bounded number of cells, so this list does too.
     sorted_cells = F.array_sort(F.collect_list(F.struct("cell", "n")))
     lists = merged.groupBy(*keys, "measure").agg(sorted_cells.alias("cells"), F.sum("n").alias("docs"))
+    lists = lists.withColumn("percent", of_measure(2))
 
     def at(rank: str) -> str:
         return (
@@ -135,7 +140,11 @@ def quantiles(cells: DataFrame, keys: list[str]) -> DataFrame:
         )
 
     return lists.select(
-        *keys, "measure", "docs", F.expr(at("(docs + 3) div 4")).alias("low"), F.expr(at("(docs + 1) div 2")).alias("mid")
+        *keys,
+        "measure",
+        "docs",
+        F.expr(at("(docs + 1) div 2")).alias("mid"),
+        F.expr(at("(docs * percent + 99) div 100")).alias("high"),
     )
 
 
@@ -145,15 +154,15 @@ def thresholds(cells: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
     names = F.array(*[F.lit(m) for m in MEASURES])
     wanted = groups.select("lang", "source", F.explode(names).alias("measure"))
     by_source = quantiles(cells, ["lang", "source"])
-    by_lang = quantiles(cells, ["lang"]).withColumnsRenamed({"docs": "docs_l", "low": "low_l", "mid": "mid_l"})
-    overall = quantiles(cells, []).withColumnsRenamed({"docs": "docs_a", "low": "low_a", "mid": "mid_a"})
+    by_lang = quantiles(cells, ["lang"]).withColumnsRenamed({"docs": "docs_l", "mid": "mid_l", "high": "high_l"})
+    overall = quantiles(cells, []).withColumnsRenamed({"docs": "docs_a", "mid": "mid_a", "high": "high_a"})
     a, b = by_source.alias("a"), by_lang.alias("b")
     w = wanted.alias("w")
     rows = (
         w.join(a, F.expr("w.lang <=> a.lang and w.source <=> a.source and w.measure = a.measure"), "left")
         .join(b, F.expr("w.lang <=> b.lang and w.measure = b.measure"), "left")
         .join(overall.alias("c"), F.expr("w.measure = c.measure"), "left")
-        .select("w.lang", "w.source", "w.measure", "docs", "low", "mid", "docs_l", "low_l", "mid_l", "low_a", "mid_a")
+        .select("w.lang", "w.source", "w.measure", "docs", "mid", "high", "docs_l", "mid_l", "high_l", "mid_a", "high_a")
     )
 
     def level(name: str) -> Column:
@@ -161,10 +170,9 @@ def thresholds(cells: DataFrame, min_group: int = MIN_GROUP) -> DataFrame:
             f"case when docs >= {min_group} then {name} when docs_l >= {min_group} then {name}_l else {name}_a end"
         )
 
-    margin = F.create_map(*[F.lit(x) for k, v in MEASURES.items() for x in (k, v[2])])[F.col("measure")]
-    rows = rows.withColumns({"lo": level("low"), "me": level("mid")})
-    limit = F.col("me") + F.greatest(margin.cast("bigint"), SPREADS * (F.col("me") - F.col("lo")))
-    rows = rows.withColumn("most", limit)
+    rows = rows.withColumns({"me": level("mid"), "hi": level("high")})
+    spread = F.col("hi") - F.col("me")
+    rows = rows.withColumn("most", F.col("hi") + F.when(spread > 0, of_measure(3) * spread).otherwise(of_measure(4)))
     return rows.groupBy("lang", "source").agg(
         *[F.max(F.when(F.col("measure") == m, F.col("most"))).alias(f"most_{m}") for m in MEASURES]
     )

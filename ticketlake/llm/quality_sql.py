@@ -1,13 +1,18 @@
 """The quality rules in DuckDB SQL."""
 
-from .quality import MEASURES, MIN_GROUP, MIN_WORDS, SPREADS
+from .quality import MEASURES, MIN_GROUP, MIN_WORDS
 
 
 def _rate(name: str) -> str:
-    top, under, _ = MEASURES[name]
+    top, under, *_ = MEASURES[name]
     return f"coalesce((1000 * {top}) // nullif({under}, 0), 0)"
 
 
+def _of_measure(place: int, column: str = "measure") -> str:
+    """A parameter of the row's measure."""
+    return f"case {column} " + " ".join(f"when '{k}' then {v[place]}" for k, v in MEASURES.items()) + " end"
+
+
 def _level(keys: str, name: str) -> str:
     group = f"{keys}, " if keys else ""
     over = f"partition by {group}measure"
@@ -15,15 +20,14 @@ def _level(keys: str, name: str) -> str:
 {name}_cells as (select {group}measure, cell, sum(n) as n from cells group by {group}measure, cell),
 {name}_sums as (select *, sum(n) over ({over} order by cell) as seen, sum(n) over ({over}) as docs from {name}_cells),
 {name} as (
-  select {group}measure, max(docs) as docs, min(cell) filter (where seen >= (docs + 3) // 4) as low,
-    min(cell) filter (where seen >= (docs + 1) // 2) as mid
+  select {group}measure, max(docs) as docs, min(cell) filter (where seen >= (docs + 1) // 2) as mid,
+    min(cell) filter (where seen >= (docs * {_of_measure(2)} + 99) // 100) as high
   from {name}_sums group by {group}measure
 )"""
 
 
 _PICK = "case when a.docs >= {m} then a.{c} when b.docs >= {m} then b.{c} else c.{c} end"
-_LOW, _MID = _PICK.format(m=MIN_GROUP, c="low"), _PICK.format(m=MIN_GROUP, c="mid")
-_MARGIN = "case w.measure " + " ".join(f"when '{k}' then {v[2]}" for k, v in MEASURES.items()) + " end"
+_MID, _HIGH = _PICK.format(m=MIN_GROUP, c="mid"), _PICK.format(m=MIN_GROUP, c="high")
 
 SQL = f"""
 with t as (
@@ -64,7 +68,8 @@ cells as (
 wanted as (select distinct lang, source, measure from cells),
 most as (
   select w.lang, w.source, w.measure,
-    {_MID} + greatest({_MARGIN}, {SPREADS} * ({_MID} - {_LOW})) as most
+    {_HIGH} + case when {_HIGH} > {_MID} then {_of_measure(3, "w.measure")} * ({_HIGH} - {_MID})
+      else {_of_measure(4, "w.measure")} end as most
   from wanted w
   left join by_source a on w.lang is not distinct from a.lang and w.source is not distinct from a.source
     and w.measure = a.measure
