@@ -136,6 +136,53 @@ def test_given_pages(spark):
         assert r.text == "\n\n".join(b for b in blocks if b) and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize(
+    "page,text",
+    [
+        ("<article><p>a <select><option>o<option>q</select> b</p><p>c</p><p>d</p></article>", "a b\n\nc\n\nd"),
+        ("<article><p>a <select><optgroup><option>o<optgroup><option>q</select>b</p><p>c</p></article>", "a b\n\nc"),
+        ("<article><p>if <math><mi>x</mi></math> holds</p></article>", "if x holds"),
+        ('<article><p class="ad-hoc">a</p><p class="comment-free search-term">b</p><div class="notice-board">c</div></article>', "a\n\nb\n\nc"),
+        ('<article><p>we <span class="share">share</span> it</p><div><span class="share">tweet</span></div></article>', "we share it"),
+        ('<article><p>a</p><div class="comment-list">x</div><div class="x comments">y</div><ul id="related_links"><li>z</ul></article>', "a"),
+        ("<main><article><p>teaser</p></article><h1>t</h1><p>the whole long story</p></main>", "teaser\n\nt\n\nthe whole long story"),
+        ("<main><article><p>the whole long story</p></article><p>more</p></main>", "the whole long story"),
+        ('<main><article><p>story</p></article><div class="comments"><p>a long comment of a reader</p></div></main>', "story"),
+    ],
+)
+def test_pages_that_lost_text(page, text):
+    assert html_text.extract(page) == text
+
+
+def test_templates_by_brute_force(spark):
+    """Random pages of blocks: a block is cut where five pages of its host, different without it, have it."""
+    rnd = random.Random(4)
+    blocks = [f"block {i}" for i in range(12)]
+    pages = []
+    for i in range(60):
+        host = rnd.choice("ab")
+        some = [b for b in blocks if rnd.random() < (0.1 if int(b[6:]) % 3 else 0.5)]
+        own = f"own text {i % 25}"  # some pages are copies
+        pages.append((i, f"http://{host}.org/{i}", own, some, host))
+    rows = [(i, u, "<body>" + "".join(f"<section>{b}</section>" for b in [*some, own]) + "</body>") for i, u, own, some, _ in pages]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(3)).collect()}
+    often = {}
+    for i, _, own, some, host in pages:
+        for b in {*some, own}:
+            often.setdefault((host, b), []).append(i)
+    often = {k: v for k, v in often.items() if len(v) >= html_text.MIN_PAGES}
+    cut = set()
+    by_id = {p[0]: p for p in pages}
+    for (host, b), ids in often.items():
+        # What a page shows besides everything that recurs on its host.
+        rest = {tuple(sorted(x for x in {*by_id[i][3], by_id[i][2]} if (host, x) not in often)) for i in ids}
+        if len(rest) >= html_text.MIN_PAGES:
+            cut.add((host, b))
+    assert cut
+    for i, _, own, some, host in pages:
+        assert got[i] == "\n\n".join(b for b in [*some, own] if (host, b) not in cut)
+
+
 # ---- packing
 
 

@@ -46,13 +46,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
 #: Elements that never hold main text.
 DROPPED = frozenset(
-    "head nav footer aside form script style noscript iframe svg math button select option input label textarea "
+    "head nav footer aside form script style noscript iframe svg button select option input label textarea "
     "template object embed canvas audio video map dialog menu fieldset title xmp noembed noframes".split()
 )
 #: Elements that start and end a block of text.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
-    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section "
     "summary table tbody td tfoot th thead tr ul".split()
 )
 #: Elements that are never cut for recurring: the frame of a page, and table cells.
@@ -69,9 +69,11 @@ CLOSES = {
     "tbody": ({"tr", "td", "th", "tbody", "thead", "tfoot"}, {"table"}),
     "tfoot": ({"tr", "td", "th", "tbody", "thead", "tfoot"}, {"table"}),
     "option": ({"option"}, {"select", "datalist", "optgroup"}),
+    "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head"}, set()),
 }
-#: Words of a class, id or role that mark elements without main text.
+#: Classes, ids and roles of elements without main text.  A name of several parts counts if each part is one of
+#: these or one of ``PLACES``: ``comment-list`` does, ``ad-hoc`` does not.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices "
     "alert popup modal overlay nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar widget widgets related "
@@ -79,6 +81,12 @@ MARKS = frozenset(
     "pager subscribe newsletter signup login search skip skiplink contentinfo complementary dialog hidden".split()
 )
 
+#: Parts of names that say where something stands.
+PLACES = frozenset(
+    "area bar block body bottom box container content group inner item items left link links list main outer page panel "
+    "right row section site text top wrap wrapper".split()
+)
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>?|<\?[^>]*>?|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)|<(?=/)[^>]*>?",
     re.S,
@@ -105,11 +113,16 @@ def is_marked(attributes: str) -> bool:
         name = name.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return True
-        if name != "aria-hidden" and any(w in MARKS for w in _WORDS.findall(value)):
+        if name != "aria-hidden" and any(names_no_text(w) for w in value.split()):
             return True
     return False
 
 
+def names_no_text(name: str) -> bool:
+    parts = _WORDS.findall(name)
+    return any(w in MARKS for w in parts) and all(w in MARKS or w in PLACES for w in parts)
+
+
 def parse(page: str) -> Node:
     """The tree of a page; text keeps its character references."""
     root = here = Node("#root", None)
@@ -204,7 +217,8 @@ def hashes(root: Node) -> Hashed:
         if id(node) in tops:
             text = True
         elif text:
-            text = not skipped(node, root)
+            # Recurrence is asked before the names of classes are.
+            text = not (node.tag in DROPPED or page_header(node))
         if node.tag in ("article", "main"):
             article, prose = True, False
         around, prose = prose, prose or node.tag in PROSE
@@ -249,25 +263,49 @@ def cut_templates(root: Node, templates: set[int]) -> None:
                 node.parent.children.remove(node)
 
 
+def page_header(node: Node) -> bool:
+    """The heading of an article is text, that of a page is not."""
+    return node.tag == "header" and not any(up.tag in ("article", "main") for up in uppers(node))
+
+
 def skipped(node: Node, top: Node) -> bool:
     if node is top:
         return False
-    if node.tag in DROPPED:
+    if node.tag in DROPPED or page_header(node):
         return True
-    if node.tag == "header":
-        # The heading of an article is text, that of a page is not.
-        up = node.parent
-        while up is not None and up.tag not in ("article", "main"):
-            up = up.parent
-        if up is None:
-            return True
-    return node.marked and node.tag not in ("article", "main", "body", "html")
+    if not node.marked or node.tag in ("article", "main", "body", "html"):
+        return False
+    # A marked word inside a sentence is part of it.
+    return node.tag in BLOCKS or stands_alone(node)
 
 
 def main_tops(root: Node) -> list[Node]:
+    """The outermost articles, the main element, or the body; the main element also if its articles are but
+    teasers, with less prose than stands beside them."""
     articles = [n for n in walk(root) if n.tag == "article" and not inside_dropped(n)]
     outer = [n for n in articles if not any(up is not n and up.tag == "article" for up in uppers(n))]
-    return outer or [n for n in walk(root) if n.tag == "main"][:1] or [n for n in walk(root) if n.tag == "body"][:1] or [root]
+    main = [n for n in walk(root) if n.tag == "main"][:1]
+    if outer and main:
+        held = [n for n in outer if any(up is main[0] for up in uppers(n))]
+        if len(held) == len(outer) and prose_beside(main[0], held) > sum(prose_beside(n, []) for n in held):
+            return main
+    return outer or main or [n for n in walk(root) if n.tag == "body"][:1] or [root]
+
+
+def prose_beside(top: Node, without: list[Node]) -> int:
+    """Characters of prose below an element, outside of some others."""
+    total, stack = 0, [(top, False)]
+    while stack:
+        node, prose = stack.pop()
+        if any(node is w for w in without) or (node is not top and skipped(node, top)):
+            continue
+        prose = prose or node.tag in PROSE
+        for child in node.children:
+            if isinstance(child, Node):
+                stack.append((child, prose))
+            elif prose:
+                total += len(child.strip())
+    return total
 
 
 def main_blocks(root: Node) -> list[str]:
