@@ -64,6 +64,19 @@ def test_chunks_carry_running_digests(spark):
         assert (row.chunk_no, row.payload_bytes, row.payload_digest) == (k, end, hashlib.sha256(raw[:end]).hexdigest())
 
 
+def test_archives_have_the_headers_of_the_format(spark):
+    rows = [(i, f"http://a/{i}", h) for i, h in enumerate(["w" * 250, "w" * 250, "short", ""])]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    heads = [r.value.split(warc.END)[0].split("\r\n")[1:] for r in warc.records(pages, chunk=100).collect()]
+    found = [dict(line.split(": ", 1) for line in head) for head in heads]
+    assert all(re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ", h["WARC-Date"]) for h in found)
+    assert all({"WARC-Type", "WARC-Record-ID", "Content-Length"} <= set(h) for h in found)
+    assert [h["WARC-Type"] for h in found].count("revisit") == 1
+    assert all(("WARC-Profile" in h) == (h["WARC-Type"] == "revisit") for h in found)
+    totals = [(h["WARC-Segment-Number"], h["WARC-Segment-Total-Length"]) for h in found if "WARC-Segment-Total-Length" in h]
+    assert totals == [("3", "250")] * 2
+
+
 # ---- page text
 
 PAGE = (

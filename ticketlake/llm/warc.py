@@ -40,6 +40,10 @@ END = "\r\n\r\n"
 VERSION = "WARC/1.1"
 
 
+# Fixed value: how a revisit says that its payload is that of another record.
+REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
 def described(pages: DataFrame) -> DataFrame:
     """page_id, url, html, payload_bytes, payload_digest, record_type, refers_to."""
     html = F.coalesce("html", F.lit(""))
@@ -99,12 +103,15 @@ def records(pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
         F.lit(VERSION),
         _header("WARC-Type", kind),
         _header("WARC-Record-ID", F.concat(F.lit("<"), "record", F.when(F.col("at") > 0, F.concat(F.lit("-"), "at")).otherwise(""), F.lit(">"))),
+        _header("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        _header("WARC-Profile", F.when(kind == "revisit", REVISIT_PROFILE)),
         _header("WARC-Page-ID", F.when(F.col("at") == 0, F.col("page_id"))),
         _header("WARC-Target-URI", F.when(F.col("at") == 0, F.col("url"))),
         _header("WARC-Refers-To-Page-ID", F.when(F.col("at") == 0, F.col("refers_to"))),
         _header("WARC-Payload-Digest", F.when(F.col("at") == 0, F.concat(F.lit("sha256:"), "payload_digest"))),
         _header("WARC-Segment-Number", F.when(many, F.col("at") + 1)),
         _header("WARC-Segment-Origin-ID", F.when(F.col("at") > 0, F.concat(F.lit("<"), "record", F.lit(">")))),
+        _header("WARC-Segment-Total-Length", F.when(many & (F.col("at") == F.col("segments") - 1), F.col("payload_bytes"))),
         _header("Content-Type", F.lit("text/html; charset=utf-8")),
         _header("Content-Length", F.octet_length("chunk")),
     )
