@@ -181,7 +181,7 @@ def block_report(
 
 
 # --------------------------------------------------------------------------- platform sources
-# Columns of the report with a preamble.
+# Columns, cells and session text of the report with a preamble.
 PREAMBLE_COLUMNS = [
     "票单号码", "大麦订单号", "B端订单号", "票品名称", "票品金额", "实收金额", "优惠金额", "优惠政策",
     "看台", "楼层", "排号", "座号", "购票人", "操作人", "售出时间", "备注",
@@ -293,6 +293,11 @@ def merged_cell_orders(
 
 
 # ------------------------------------------------------------------------ reported distributors
+# Session texts of two distributors.
+SHOW_SESSION = r"(\d{4}-\d{2}-\d{2}).{4}(\d{2}:\d{2})"
+PICKUP_SESSION = r"([0-9 -:]+[0-9])"
+
+
 def show_orders(channel: str, rate: float = 0.94) -> Transform:
     """Factory for distributors that report session, price and count."""
 
@@ -302,7 +307,7 @@ def show_orders(channel: str, rate: float = 0.94) -> Transform:
             raw.withColumns(
                 {
                     **lits(channel_type=DIST_REPORTED, channel_detail=channel),
-                    "session_ts": session_from("场次", r"(\d{4}-\d{2}-\d{2}).{4}(\d{2}:\d{2})"),
+                    "session_ts": session_from("场次", SHOW_SESSION),
                     "face_price": price,
                     "tickets": as_count("数量"),
                     "net_revenue": price * count * rate,
@@ -317,7 +322,7 @@ def pickup_orders(raw: DataFrame, channel: str = "麦淘") -> DataFrame:
     """Session text ``MM-DD HH:mm``; months after January belong to the first season year."""
     spark = raw.sparkSession
     # Text parts that are read several times become columns, so each pattern is matched once.
-    dated = raw.withColumn("_text", capture("场次名称", r"([0-9 -:]+[0-9])"))
+    dated = raw.withColumn("_text", capture("场次名称", PICKUP_SESSION))
     year = F.when(F.substring("_text", 1, 2) > "01", "2023-").otherwise("2024-")
     dated = dated.withColumn("_text", F.concat(year, F.col("_text")))
     rows = dims.price_label(spark).apply(dated, {"label": "套餐名称"}, into={"price": "face_price"})
@@ -442,6 +447,7 @@ def standard_orders(raw: DataFrame, config: RuleSet | None = None) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------- venue reports
+# Grades of the wide venue report; tiers and patterns of the report by sections.
 GRADES = ["A级", "B级", "C级", "D级"]
 GRADE_ATTRS = {"票价": "face_price", "已售数量": "tickets", "已售金额": "net_revenue"}
 SECTION = f"^场次时间：({PRINTABLE}*)"
