@@ -233,7 +233,32 @@ def test_bin_completion_is_optimal_on_small_cases():
             assert sum(k * n for k, n in filling.items()) <= 30
             for k, n in filling.items():
                 used[k] = used.get(k, 0) + n * times
-        assert used == counts and plan.sequences == least_bins(items, 30)
+        best = least_bins(items, 30)
+        assert used == counts and plan.sequences == best and packing.lower_bound(counts, 30) <= best
+
+
+def test_bin_completion_beats_best_fit_and_meets_the_bound():
+    rng = random.Random(6)
+    better = 0
+    for _ in range(60):
+        counts = {}
+        for _ in range(200):
+            x = rng.randint(20, 60)
+            counts[x] = counts.get(x, 0) + 1
+        plan, fit = packing.complete(counts, 100, nodes=300), packing.best_fit(counts, 100)
+        assert plan.least <= plan.sequences <= fit.sequences
+        better += plan.sequences < fit.sequences
+    assert better
+
+
+def test_fillings_are_all_sums_with_the_waste_asked_for():
+    left = {9: 1, 7: 1, 5: 2, 3: 1, 2: 2}
+    found = [sorted(f.items()) for f in packing.fillings(left, 9, 16, 0, most=50)]
+    # 7 | 5 2 | 3 2 2, of which a 7 that is left dominates the others
+    assert found == [[(7, 1), (9, 1)]]
+    sums = packing.Sums([7, 5, 3, 2], left, 9)
+    assert sorted(sums.ways(0, 7)) == [(3, 2, 2), (5, 2), (7,)]
+    assert not sums.has(0, 1) and sums.has(0, 9)
 
 
 def test_bin_completion_is_no_worse_than_best_fit():

@@ -3,9 +3,10 @@
 Texts become token ids and are cut into pieces of at most ``CAPACITY`` ids.  Packing needs only how many
 pieces have each length, a table of at most ``CAPACITY`` rows whatever the input.  The driver packs that
 table by branch and bound: the longest piece left opens a sequence, the undominated ways to fill the
-rest of it are enumerated, the fullest first, and a branch is dropped when its waste so far lets it no
-longer beat the best packing known, which starts as best fit decreasing.  A filling is taken as often as
-the counts allow, so the plan is a few thousand rows at most.
+rest of it are enumerated, the fullest first, by the sums that pieces left can have, and a branch is dropped when its
+waste so far lets it no longer beat the best packing known, which starts as best fit decreasing.  The search ends when
+a plan meets a lower bound (``Plan.least``) or ``MAX_NODES`` branches were followed; then it is the best known, not
+proven.  A filling is taken as often as the counts allow, so the plan is a few thousand rows at most.
 
 Spark then hands the places of the plan to the pieces: pieces of one length are numbered with counts per
 bucket, so that no length meets in one task, and a piece's number gives its sequence and offset.
@@ -21,6 +22,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +126,8 @@ class Plan:
     """Fillings (length: times) and how many sequences each of them has."""
 
     fillings: list[tuple[dict[int, int], int]] = field(default_factory=list)
+    #: No plan has fewer sequences.
+    least: int = 0
 
     @property
     def sequences(self) -> int:
@@ -182,69 +186,111 @@ def dominated(items: list[int], room: int, left: dict[int, int], longest: list[i
     return False
 
 
-def fillings(left: dict[int, int], first: int, capacity: int, waste: int, most: int = MAX_FILLINGS) -> list[dict[int, int]]:
+class Sums:
+    """Which sums pieces of ``lengths`` from number i on have, up to ``room``; the last ones first."""
+
+    def __init__(self, lengths: list[int], left: dict[int, int], room: int):
+        self.lengths, self.left, self.room = lengths, left, room
+        self.bits = [1]
+
+    def has(self, i: int, total: int) -> bool:
+        """Whether pieces of ``lengths[i:]`` add up to ``total``."""
+        back = len(self.lengths) - i
+        while len(self.bits) <= back:
+            x = self.lengths[-len(self.bits)]
+            bits, n, step = self.bits[-1], min(self.left[x], self.room // x), 1
+            while n:
+                take = min(step, n)
+                bits |= bits << (take * x)
+                n, step = n - take, step * 2
+            self.bits.append(bits & ((1 << (self.room + 1)) - 1))
+        return bool((self.bits[back] >> total) & 1)
+
+    def ways(self, i: int, total: int) -> Iterator[tuple[int, ...]]:
+        """Pieces of ``lengths[i:]`` that add up to ``total``, in the order of ``lengths``.
+
+        A branch is entered only if the pieces behind it can make up what is still missing, so each ends in a filling.
+        """
+        if total == 0:
+            yield ()
+            return
+        for j in range(i, len(self.lengths)):
+            if not self.has(j, total):
+                return
+            x = self.lengths[j]
+            for n in range(min(self.left[x], total // x), 0, -1):
+                if self.has(j + 1, total - n * x):
+                    for others in self.ways(j + 1, total - n * x):
+                        yield (*[x] * n, *others)
+
+
+def fillings(left: dict[int, int], first: int, capacity: int, waste: int, most: int = MAX_FILLINGS) -> Iterator[dict[int, int]]:
     """Undominated ways to fill a sequence around a piece of length ``first``, the least waste first.
 
-    Depth first over descending lengths; a branch ends when even all shorter pieces left cannot bring
-    the waste down to ``waste``.
+    Of the first ways of equal waste, those come first that keep the shortest pieces, which fit anywhere, for later.
     """
     room = capacity - first
     own = dict(left)
     own[first] -= 1
     lengths = [x for x in sorted(own, reverse=True) if x <= room and own[x] > 0]
-    total = [0] * (len(lengths) + 1)
-    for i in range(len(lengths) - 1, -1, -1):
-        total[i] = total[i + 1] + lengths[i] * own[lengths[i]]
-    found: list[tuple[int, tuple[int, ...]]] = []
-    looked = 0
-    stack: list[tuple[int, int, tuple[int, ...]]] = [(0, room, ())]
-    perfect = 0
-    while stack and looked < 40 * most and perfect < most:
-        at, rest, items = stack.pop()
-        looked += 1
-        while at < len(lengths) and (lengths[at] > rest or own[lengths[at]] <= items.count(lengths[at])):
-            at += 1
-        if rest == 0 or at == len(lengths):
-            if rest <= waste or not items and not lengths:
-                found.append((rest, items))
-                perfect += rest == 0
+    sums = Sums(lengths, own, room)
+    given = 0
+    for lost in range(min(waste, room) + 1):
+        if not sums.has(0, room - lost):
             continue
-        if rest - total[at] > waste:
-            continue
-        x = lengths[at]
-        stack.append((at + 1, rest, items))  # without it
-        stack.append((at, rest - x, (*items, x)))
-    longest = lengths[:400]
-    kept_ones = [(w, i) for w, i in found if not dominated(list(i), room, own, longest)]
-    chosen = sorted(kept_ones or found, key=lambda f: (f[0], len(f[1])))[:most]
-    out = []
-    for _, items in chosen:
-        filling = {first: 1}
-        for x in items:
-            filling[x] = filling.get(x, 0) + 1
-        out.append(filling)
-    return out
+        some = islice(sums.ways(0, room - lost), 4 * most)
+        for items in sorted(some, key=lambda items: -min(items, default=0)):
+            if dominated(list(items), room, own, lengths):
+                continue
+            filling = {first: 1}
+            for x in items:
+                filling[x] = filling.get(x, 0) + 1
+            yield filling
+            given += 1
+            if given == most:
+                return
+
+
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Sequences that no plan can do without.
+
+    For every k: a piece longer than capacity - k shares with none of at least k, one longer than half with no other
+    such; pieces from k to half go into what those leave, or into further sequences.
+    """
+    least = -(-sum(x * n for x, n in counts.items()) // capacity)
+    for k in {1, *(x for x in counts if 2 * x <= capacity)}:
+        alone = sum(n for x, n in counts.items() if x > capacity - k)
+        half = {x: n for x, n in counts.items() if 2 * x > capacity and x <= capacity - k}
+        small = sum(x * n for x, n in counts.items() if k <= x and 2 * x <= capacity)
+        spare = sum((capacity - x) * n for x, n in half.items())
+        least = max(least, alone + sum(half.values()) + max(0, -(-(small - spare) // capacity)))
+    return least
 
 
 def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = MAX_NODES) -> Plan:
-    """Bin completion: the best plan found, the optimum if the bounds or the whole tree prove it."""
+    """Bin completion: the best plan found within ``nodes`` branches; ``least`` is the bound that it is held against.
+
+    Best fit is the first incumbent.  A pass over the tree takes another filling than the first at most ``turns``
+    times on a way; passes with more turns follow until a plan meets the bound, no branch was left out, or
+    ``nodes`` branches were followed.
+    """
     counts = {k: v for k, v in counts.items() if v}
     total = sum(k * v for k, v in counts.items())
-    least = -(-total // capacity)
-    # Pieces longer than half never share a sequence.
-    least = max(least, sum(v for k, v in counts.items() if 2 * k > capacity))
+    least = lower_bound(counts, capacity)
     best = best_fit(counts, capacity)
+    best.least = least
     if best.sequences == least:
         return best
     steps: list[tuple[dict[int, int], int]] = []
     spent = 0
+    left_out = False
 
     def branch(left: dict[int, int], wasted: int, used: int, turns: int) -> bool:
         """Follow the fillings of the longest piece left; ``turns``: how often not the first is taken."""
-        nonlocal best, spent
+        nonlocal best, spent, left_out
         if not left:
             if used < best.sequences:
-                best = Plan(list(steps))
+                best = Plan(list(steps), least)
             return best.sequences == least
         spent += 1
         if spent > nodes:
@@ -255,7 +301,8 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = MAX_
             return False
         first = max(left)
         for k, filling in enumerate(fillings(left, first, capacity, min(may, capacity))):
-            if k > turns:
+            if k and not turns:
+                left_out = True
                 break
             lost = capacity - sum(x * n for x, n in filling.items())
             times = min(left[x] // n for x, n in filling.items())
@@ -275,9 +322,12 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = MAX_
     deep = sys.getrecursionlimit()
     sys.setrecursionlimit(max(deep, 20 * capacity))
     try:
-        for turns in (0, 1, 2):
-            if branch(counts, 0, 0, turns):
+        turns = 0
+        while True:
+            left_out = False
+            if branch(counts, 0, 0, turns) or not left_out:
                 break
+            turns += 1
     finally:
         sys.setrecursionlimit(deep)
     return best
