@@ -245,7 +245,7 @@ def test_bin_completion_beats_best_fit_and_meets_the_bound():
         for _ in range(200):
             x = rng.randint(20, 60)
             counts[x] = counts.get(x, 0) + 1
-        plan, fit = packing.complete(counts, 100, nodes=300), packing.best_fit(counts, 100)
+        plan, fit = packing.complete(counts, 100, most=5_000), packing.best_fit(counts, 100)
         assert plan.least <= plan.sequences <= fit.sequences
         better += plan.sequences < fit.sequences
     assert better
@@ -267,7 +267,7 @@ def test_bin_completion_is_no_worse_than_best_fit():
     for _ in range(3000):
         x = min(1024, max(1, int(rng.lognormvariate(5.8, 1))))
         counts[x] = counts.get(x, 0) + 1
-    plan, fit = packing.complete(counts, nodes=600), packing.best_fit(counts, 1024)
+    plan, fit = packing.complete(counts, most=20_000), packing.best_fit(counts, 1024)
     assert plan.sequences <= fit.sequences
     assert plan.sequences >= -(-sum(k * n for k, n in counts.items()) // 1024)
 

@@ -5,7 +5,7 @@ pieces have each length, a table of at most ``CAPACITY`` rows whatever the input
 table by branch and bound: the longest piece left opens a sequence, the undominated ways to fill the
 rest of it are enumerated, the fullest first, by the sums that pieces left can have, and a branch is dropped when its
 waste so far lets it no longer beat the best packing known, which starts as best fit decreasing.  The search ends when
-a plan meets a lower bound (``Plan.least``) or ``MAX_NODES`` branches were followed; then it is the best known, not
+a plan meets a lower bound (``Plan.least``) or ``MAX_LOOKS`` fillings were looked at; then it is the best known, not
 proven.  A filling is taken as often as the counts allow, so the plan is a few thousand rows at most.
 
 Spark then hands the places of the plan to the pieces: pieces of one length are numbered with counts per
@@ -20,7 +20,7 @@ from __future__ import annotations
 import functools
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -34,9 +34,9 @@ from .words import text_array
 
 CAPACITY = 1024
 END_ID = 2
-#: Fillings that are looked at for one sequence, and branches that are followed in all.
+#: Fillings that a sequence may branch into, and fillings that the whole search looks at.
 MAX_FILLINGS = 12
-MAX_NODES = 3_000
+MAX_LOOKS = 60_000
 #: Pieces that are numbered together.
 BUCKET_ROWS = 20_000
 
@@ -224,9 +224,13 @@ class Sums:
                         yield (*[x] * n, *others)
 
 
-def fillings(left: dict[int, int], first: int, capacity: int, waste: int, most: int = MAX_FILLINGS) -> Iterator[dict[int, int]]:
+def fillings(
+    left: dict[int, int], first: int, capacity: int, waste: int, most: int = MAX_FILLINGS, looks: Callable[[int], object] = int
+) -> Iterator[dict[int, int]]:
     """Undominated ways to fill a sequence around a piece of length ``first``, the least waste first.
 
+    At most 24 * ``most`` are looked at; ``looks`` is told how many.
+
     Of the first ways of equal waste, those come first that keep the shortest pieces, which fit anywhere, for later.
     """
     room = capacity - first
@@ -234,21 +238,34 @@ def fillings(left: dict[int, int], first: int, capacity: int, waste: int, most:
     own[first] -= 1
     lengths = [x for x in sorted(own, reverse=True) if x <= room and own[x] > 0]
     sums = Sums(lengths, own, room)
-    given = 0
+    given = looked = 0
+    spare: tuple[int, ...] | None = None
     for lost in range(min(waste, room) + 1):
+        if given == most or looked >= 20 * most:
+            break
         if not sums.has(0, room - lost):
             continue
-        some = islice(sums.ways(0, room - lost), 4 * most)
+        some = list(islice(sums.ways(0, room - lost), 4 * most))
+        looked += len(some)
+        looks(len(some))
         for items in sorted(some, key=lambda items: -min(items, default=0)):
             if dominated(list(items), room, own, lengths):
+                spare = spare or items
                 continue
-            filling = {first: 1}
-            for x in items:
-                filling[x] = filling.get(x, 0) + 1
-            yield filling
+            yield with_first(first, items)
             given += 1
             if given == most:
-                return
+                break
+    if not given and spare is not None:
+        # All that were looked at are dominated: the fullest of them, rather than none.
+        yield with_first(first, spare)
+
+
+def with_first(first: int, items: tuple[int, ...]) -> dict[int, int]:
+    filling = {first: 1}
+    for x in items:
+        filling[x] = filling.get(x, 0) + 1
+    return filling
 
 
 def lower_bound(counts: dict[int, int], capacity: int) -> int:
@@ -267,12 +284,12 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return least
 
 
-def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = MAX_NODES) -> Plan:
-    """Bin completion: the best plan found within ``nodes`` branches; ``least`` is the bound that it is held against.
+def complete(counts: dict[int, int], capacity: int = CAPACITY, most: int = MAX_LOOKS) -> Plan:
+    """Bin completion: the best plan found in ``most`` looks at fillings; ``least`` is the bound that it is held against.
 
     Best fit is the first incumbent.  A pass over the tree takes another filling than the first at most ``turns``
     times on a way; passes with more turns follow until a plan meets the bound, no branch was left out, or
-    ``nodes`` branches were followed.
+    the looks are used up.
     """
     counts = {k: v for k, v in counts.items() if v}
     total = sum(k * v for k, v in counts.items())
@@ -285,22 +302,26 @@ def complete(counts: dict[int, int], capacity: int = CAPACITY, nodes: int = MAX_
     spent = 0
     left_out = False
 
+    def look(n: int) -> None:
+        nonlocal spent
+        spent += n
+
     def branch(left: dict[int, int], wasted: int, used: int, turns: int) -> bool:
         """Follow the fillings of the longest piece left; ``turns``: how often not the first is taken."""
-        nonlocal best, spent, left_out
+        nonlocal best, left_out
         if not left:
             if used < best.sequences:
                 best = Plan(list(steps), least)
             return best.sequences == least
-        spent += 1
-        if spent > nodes:
+        look(1)
+        if spent > most:
             return True
         # To win, a plan may waste so much and no more.
         may = (best.sequences - 1) * capacity - total - wasted
         if may < 0:
             return False
         first = max(left)
-        for k, filling in enumerate(fillings(left, first, capacity, min(may, capacity))):
+        for k, filling in enumerate(fillings(left, first, capacity, min(may, capacity), looks=look)):
             if k and not turns:
                 left_out = True
                 break
