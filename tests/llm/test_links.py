@@ -181,6 +181,13 @@ def test_text_links(spark, monkeypatch, block):
     assert one_kept_each(found)
 
 
+def test_text_links_in_blocks_by_shingles(spark, monkeypatch):
+    texts = copies()[:60]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 50)
+    assert got(ngram_join.link(docs).collect(), "doc_id") == settled(list(range(60)), similar(texts))
+
+
 def test_text_links_without_broadcast(spark, monkeypatch):
     texts = copies()[:40]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")

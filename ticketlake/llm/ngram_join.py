@@ -43,7 +43,9 @@ TOLERANCE = 1e-6
 #: MinHash values compared between two looks at the posterior.
 LOOK = 16
 BUCKET_BLOCK = 512
-GROUP_BLOCK = 128
+GROUP_BLOCK = 512
+#: Shingles of the rows of a block, on average over its group: 2 MB.
+BLOCK_SHINGLES = 1 << 18
 #: Rows of ids that may be broadcast: 16 MB.
 BROADCAST_ROWS = 2_000_000
 
@@ -248,7 +250,7 @@ def link(docs: DataFrame, uid: str | None = None) -> DataFrame:
     marked = marked.withColumn("key1", F.when(some, F.col("key1")))
     marked = kept(marked, "marks")
     classes = kept(classes_of(marked, "doc_id"), "classes")
-    firsts = kept(classes.drop("first").join(marked.select("uid", "bands", "sketch"), "uid"), "class-marks")
+    firsts = kept(classes.drop("first").join(marked.select("uid", "bands", "sketch", "shingles"), "uid"), "class-marks")
 
     keys = firsts.select("uid", F.explode("bands").alias("bucket"))
     live = keys.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
@@ -259,15 +261,17 @@ def link(docs: DataFrame, uid: str | None = None) -> DataFrame:
     ids = tied.select(F.col("a").alias("id")).union(tied.select(F.col("b").alias("id"))).distinct()
     groups = kept(components(ids, tied, "groups").withColumnRenamed("id", "uid"), "groups")
 
-    sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    members = kept(groups.join(sizes, "component").join(firsts.drop("bands"), "uid"), "members")
+    # As many blocks as rows or shingles ask for: a row of a large group is sent once per block of it.
+    blocks = F.greatest(F.count(F.lit(1)) / GROUP_BLOCK, F.sum("shingles") / BLOCK_SHINGLES)
+    sizes = groups.join(firsts.select("uid", "shingles"), "uid").groupBy("component").agg(blocks.alias("n"))
+    members = kept(groups.join(sizes, "component").join(firsts.drop("bands", "shingles"), "uid"), "members")
     wanted = members.select(F.col("class_id").alias("wanted")).distinct()
     if members.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
     texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     sets = shingles_of(texts).groupBy("key1", "key2").agg(F.first("grams").alias("grams"))
     full = members.join(sets, ["key1", "key2"]).select("uid", "copies", "sketch", "grams", "component", "n")
-    units = in_units(full, [F.col("component")], F.col("n"), GROUP_BLOCK).drop("component", "n")
+    units = in_units(full, [F.col("component")], F.col("n"), 1).drop("component", "n")
     found = kept(run_units(units, verified), "links")
     return settle(marked, classes, found, "doc_id", "linked")
 
