@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketlake import dims
+from ticketlake.plans import channels as ch
 from ticketlake.plans import daily, inventory, weekly
 from ticketlake.schema import CONTENT_SCHEMA, FOLLOWERS_SCHEMA, SALES_SCHEMA, conform
 from ticketlake.streaming import flows
@@ -192,3 +193,22 @@ def test_sell_through_meets_missing_keys(spark):
     asked = spark.createDataFrame([("MA", None, None), ("MOR", None, None)], "production string, session_ts timestamp_ntz, tier decimal(18,4)")
     found = {r["production"]: r["tickets"] for r in daily.sell_through(asked, sold).collect()}
     assert found == {"MA": 3, "MOR": 0}
+
+
+def test_wide_table_reads_a_text_once_a_row(spark):
+    schema = "`商品说明` string, `数量` string, `结算价小计` string, `用户姓名` string"
+    rows = [
+        ("票种：880档单人票2张，使用时间：2024-01-03 14:30", "2", "10.5", "n"),
+        ("票种：880档单人票，使用时间：2024-01-03 14:30", "0", "1", "n"),
+        ("票种：880档单人票，使用时间：foo", "2", "1", "n"),
+        ("无说明", "2", "1", "n"),
+        (None, None, None, None),
+    ]
+    raw = spark.createDataFrame(rows, schema).withColumn("商品说明", F.concat("商品说明", F.lit("")))
+    wide = ch.load_wide([ch.worded_orders(raw), ch.worded_orders(raw)], "MA")
+    assert [(str(r.session_ts), r.tickets, float(r.net_revenue), r.production) for r in wide.collect()] == [
+        ("2024-01-03 14:30:00", 4, 10.5, "MA")
+    ] * 2
+    plan = wide._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    filters = [line for line in plan if line.lstrip(" :+-").startswith("Filter")]
+    assert filters and not any("RLIKE" in line or "regexp" in line for line in filters)

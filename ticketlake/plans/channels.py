@@ -68,9 +68,19 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
+def once(df: DataFrame, *names: str) -> DataFrame:
+    """The same rows, with some columns worked out once a row.
+
+    Without it a filter on them moves below everything that makes them, where each mention of a text
+    reads it again, and the rows that pass are read once more.
+    """
+    rest = [F.col(f"`{c}`") for c in df.columns if c not in names]
+    return df.select(*rest, F.inline(F.array(F.struct(*names)))).select([F.col(f"`{c}`") for c in df.columns])
+
+
 def load_wide(parts: list[DataFrame], production: str) -> DataFrame:
     """Final wide table in order of the orders: typed, with a production, a session and at least one ticket."""
-    wide = union_all([conform(p) for p in parts])
+    wide = union_all([once(conform(p), "session_ts", "tickets") for p in parts])
     rows = wide.withColumn("production", F.coalesce("production", F.lit(production))).filter(
         F.col("session_ts").isNotNull() & (F.col("tickets") > 0)
     )
