@@ -324,3 +324,65 @@ def test_attention_learns_from_anywhere_in_a_text(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     lm_score.score(docs, vocabulary("byte_bpe_50k.json"))
     assert all(len(t) == 20 for t in taken) and len({t.tobytes() for t in taken}) > len(taken) // 2
+
+
+def test_attention_and_classes_learn_from_every_learning_text(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "STEPS", 2)
+    monkeypatch.setattr(lm_score, "SAMPLE_TEXTS", 1)
+    found = []
+    own = lm_score.learned
+    monkeypatch.setattr(
+        lm_score, "learned", lambda rows, model: found.append((dict(model.weights), own(rows, model))) or found[-1][1]
+    )
+    built = lm_score.built
+    made = []
+    monkeypatch.setattr(lm_score, "built", lambda w, *rest: made.append({n: x.copy() for n, x in w.items()}) or built(w, *rest))
+    path = vocabulary("byte_bpe_50k.json")
+    words = "tree house green walks under small river old stone bread winter music paper garden window bridge".split()
+    rows = [(i, f"the {words[i % 16]} and {words[i * 7 % 16]} number {i} of the rest " * 3) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    lm_score.score(docs, path)
+    encode = lm_score.tokenizer(path)
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
+    ids = {i: set(encode(t).tolist()) for i, t in rows}
+    (_, model), start, after = found[0], made[0], made[-1]
+    unknown = len(start["emb"]) - 2
+    learned_ids = set().union(*(ids[i] for i in ids if not held[i]))
+    for i in learned_ids:
+        row = model.row_of[i]
+        assert row < unknown and not np.allclose(start["emb"][row], after["emb"][row])
+        assert model.class_of[i] < lm_score.CLASSES - 1
+    for i in set().union(*ids.values()) - learned_ids:
+        assert model.row_of[i] == unknown
+    for name in lm_score.OTHERS:
+        assert not np.array_equal(start[name], after[name])
+
+
+def test_learning_follows_the_gradient(monkeypatch):
+    rng = np.random.default_rng(3)
+    size, end = 30, 29
+    texts = [rng.integers(0, 28, n) for n in (40, 3, 0, 17)]
+    counts_ = np.bincount(np.concatenate(texts), minlength=size)
+    model = lm_score.train(texts, counts_, end, 5)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    inputs, targets, *_ = lm_score.laid_out(np.concatenate(texts).astype(np.int64), bounds, end, size)
+
+    def loss(weights):
+        copy = {n: x.astype(np.float32) for n, x in weights.items()}
+        made = lm_score.built(copy, model.row_of, model.class_of, model.inside, end)
+        z = lm_score.attend(made, inputs).astype(np.float64)
+        want = targets[1:]
+        there = want >= 0
+        picked = z[there][np.arange(there.sum()), model.class_of[want[there]]]
+        return (np.log(np.exp(z[there]).sum(1)) - picked).mean()
+
+    start = {n: x.astype(np.float64) for n, x in model.weights.items()}
+    monkeypatch.setattr(lm_score, "RATE", np.float32(1e-3))
+    learner = lm_score.Learner(model)
+    learner.step(inputs, targets[1:])
+    # One step of Adagrad from small squares moves every weight by its gradient's sign, about: the loss falls with each part.
+    for name in start:
+        moved = {**start, name: learner.w[name].astype(np.float64)}
+        moved["emb"] = np.vstack([moved["emb"][:-2], start["emb"][-2:]])
+        assert loss(moved) < loss(start), name
+    assert learner.ids == sum(len(t) + 1 for t in texts)
