@@ -6,6 +6,7 @@ import re
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ticketlake.llm import blocks, near_vectors, ngram_join
@@ -251,3 +252,21 @@ def test_pipeline_of_odd_rows(spark, odd, nothing, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             docs = stage(spark, docs, str(tmp_path))
         docs.collect()
+
+
+def test_units_are_put_together_in_small_pieces(monkeypatch):
+    monkeypatch.setattr(blocks, "PIECE_BYTES", 10_000, raising=False)
+    rng = np.random.default_rng(5)
+    keys = np.sort(np.concatenate([rng.integers(0, 60, 900), np.full(300, 30)]))
+    body = [rng.bytes(int(n)) for n in rng.integers(0, 200, len(keys))]
+    every = pa.RecordBatch.from_arrays(
+        [pa.array(keys.astype(np.int64)), pa.array(np.arange(len(keys))), pa.array(body, pa.binary())],
+        names=["unit", "uid", "grams"],
+    )
+    batches = [every.slice(0, 700), every.slice(700, 0), every.slice(700, 1), every.slice(701)]
+    tables = list(blocks.stream_units(iter(batches)))
+    assert pa.concat_tables([t for t, _ in tables]).combine_chunks().equals(pa.Table.from_batches([every]))
+    units = [k for t, bounds in tables for k in t["unit"].to_numpy()[bounds[:-1]]]
+    assert units == sorted(set(keys.tolist()))
+    widest = max(every.slice(int(a), int(b - a)).nbytes for a, b in zip(*[np.searchsorted(keys, np.arange(60), s) for s in ("left", "right")]))
+    assert max(t.nbytes for t, _ in tables) <= widest + 2 * 10_000
