@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from ticketlake.llm import blocks, near_vectors, ngram_join
-from ticketlake.llm.common import components
+from ticketlake.llm.common import BATCH_BYTES, add_columns, components, ship
 from ticketlake.llm.queries import REGISTRY, table
 
 SF = "/root/testdata/sf0.001"
@@ -270,3 +270,20 @@ def test_units_are_put_together_in_small_pieces(monkeypatch):
     assert units == sorted(set(keys.tolist()))
     widest = max(every.slice(int(a), int(b - a)).nbytes for a, b in zip(*[np.searchsorted(keys, np.arange(60), s) for s in ("left", "right")]))
     assert max(t.nbytes for t, _ in tables) <= widest + 2 * 10_000
+
+
+def test_workers_get_batches_of_bounded_size(spark):
+    """Long texts: a batch was 10,000 rows of any length before."""
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('lorem ipsum ', 500) as text")
+    sizes = add_columns(docs, "n bigint", lambda: lambda b: [pa.array(np.full(b.num_rows, b.nbytes))])
+    assert sizes.agg({"n": "max"}).first()[0] <= BATCH_BYTES + 10_000
+    assert sizes.count() == 3000
+    # A bound of the session's own stays.
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "123456")
+    try:
+        ship(spark)
+        assert int(spark.conf.get(name).rstrip("b")) == 123456
+    finally:
+        spark.conf.set(name, before)
