@@ -386,3 +386,22 @@ def test_learning_follows_the_gradient(monkeypatch):
         moved["emb"] = np.vstack([moved["emb"][:-2], start["emb"][-2:]])
         assert loss(moved) < loss(start), name
     assert learner.ids == sum(len(t) + 1 for t in texts)
+
+
+def test_a_step_of_learning_is_the_same_in_blocks_of_any_size(monkeypatch):
+    rng = np.random.default_rng(4)
+    size, end = 60, 59
+    texts = [rng.integers(0, 58, n) for n in (300, 3, 0, 170, 90)]
+    model = lm_score.train(texts, np.bincount(np.concatenate(texts), minlength=size), end, 5)
+    bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    found = []
+    for rows in (1, 7, 10_000):
+        monkeypatch.setattr(lm_score, "LEARN_ROWS", rows)
+        learner = lm_score.Learner(model)
+        learner.texts(np.concatenate(texts).astype(np.int64), bounds)
+        found.append(learner)
+    for other in found[:2]:
+        assert other.ids == found[2].ids == sum(len(t) + 1 for t in texts)
+        assert np.array_equal(other.met, found[2].met)
+        for name in found[2].w:
+            np.testing.assert_allclose(other.w[name], found[2].w[name], atol=2e-5, err_msg=name)
