@@ -405,3 +405,48 @@ def test_a_step_of_learning_is_the_same_in_blocks_of_any_size(monkeypatch):
         assert np.array_equal(other.met, found[2].met)
         for name in found[2].w:
             np.testing.assert_allclose(other.w[name], found[2].w[name], atol=2e-5, err_msg=name)
+
+
+def test_tokenizer_looks_for_special_tokens_as_a_whole(monkeypatch):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from ticketlake.llm import packing
+
+    known = []
+    own = tiktoken.Encoding
+    monkeypatch.setattr(tiktoken, "Encoding", lambda *a, **k: known.append(k["special_tokens"]) or own(*a, **k))
+    path = vocabulary("byte_bpe_50k.json")
+    encode = packing.tokenizer.__wrapped__(path)
+    # Without any, the library looks for the empty text at every character.
+    assert known and known[0] and "" not in known[0]
+    plain = Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    for text in ("", " ", *known[0], *(f"one{s}{s} two\n{s}" for s in known[0]), "It's  a\tsmall\n\n text 12 é"):
+        assert encode(text).tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_pairs_with_a_slot_are_not_looked_up_again(monkeypatch):
+    rng = np.random.default_rng(5)
+    size, end = 60, 59
+    texts = [rng.integers(0, 58, n) for n in (300, 3, 0, 170)]
+    model = lm_score.train(texts, np.bincount(np.concatenate(texts), minlength=size), end, 2)
+    monkeypatch.setattr(lm_score, "SLOT_BITS", (5, 4))
+    before, ids = rng.integers(0, 60, 500), rng.integers(0, 60, 500)
+    pairs, n = np.unique(before[:300] << 16 | ids[:300], return_counts=True)
+    model.learn_pairs(pairs, n)
+    want = (before << 16 | ids).astype(np.uint32)
+    counts_ = [{int(p): float(c) for p, c in zip(names, times, strict=True) if c} for names, times in model.slots]
+    assert not counts_[0].keys() & counts_[1].keys()
+    asked, own = [], lm_score.slot
+    monkeypatch.setattr(lm_score, "slot", lambda pairs, slots: asked.append(len(pairs)) or own(pairs, slots))
+    assert model.times(want).tolist() == [counts_[0].get(int(p), 0) + counts_[1].get(int(p), 0) for p in want]
+    assert asked == [500, sum(int(p) not in counts_[0] for p in want)]
+
+
+def test_exp_in_place_has_a_bound():
+    for values in ([-200.0, 0.0, 3.0], [59.9, 60.0, 61.0, 900.0], []):
+        x = np.array(values, np.float32)
+        want = np.exp(np.minimum(x, 60))
+        lm_score.exp_to(x, 60)
+        assert np.array_equal(x, want) and np.isfinite(x).all()
